@@ -26,7 +26,9 @@ def parse(cell: Column, field: T.StructField, dates: DateRule) -> Column:
         return whole_number(cell, data_type.simpleString())
     if isinstance(data_type, (T.FloatType, T.DoubleType)):
         return cell.try_cast(data_type.simpleString())
-    return trim_blanks(cell)
+    if isinstance(data_type, T.StringType):
+        return trim_blanks(cell)
+    raise ValueError(f"column {field.name}: cannot load into {data_type.simpleString()}")
 
 
 def _value(cell: Column, candidate: Column, field: T.StructField) -> Column:

@@ -62,20 +62,21 @@ class TableSpec:
 
 
 def tags_of(field: T.StructField) -> list[str]:
-    return list(field.metadata.get("tags", []))
+    default = ["timestamp"] if isinstance(field.dataType, T.TimestampType) else []
+    return list(field.metadata.get("tags", default))
 
 
 def is_nullable(field: T.StructField) -> bool:
-    return "nullable" in tags_of(field)
+    """Declared columns are nullable only by tag; other tables have Spark's own flag."""
+    return "nullable" in tags_of(field) if "tags" in field.metadata else field.nullable
 
 
 def _type_word(data_type: T.DataType) -> str:
-    if isinstance(data_type, (T.TimestampType, T.LongType)):
+    """The word of a type; what the language cannot say is exported as text."""
+    if isinstance(data_type, T.TimestampType):
         return "long"
-    for word, known in _TYPE_WORDS.items():
-        if known == data_type:
-            return "int" if word == "integer" else word
-    raise ValueError(f"no specification word for {data_type.simpleString()}")
+    words = {known: word for word, known in _TYPE_WORDS.items()}
+    return words.get(data_type, "string")
 
 
 def _type_of(word: str, tags: list[str], name: str) -> T.DataType:
