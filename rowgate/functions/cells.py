@@ -76,27 +76,46 @@ class Dialect:
         return self._has_markup(line) & ~line.rlike(well_formed)
 
     def split(self, line: Column) -> Column:
-        """The cells of a well-formed line, quotes and escapes resolved."""
-        plain = F.split(line, _literal(self.delimiter), -1)
-        if not (self.quote or self.escape):
-            return plain
+        """The cells of a well-formed line, quotes and escapes resolved.
+
+        Lines without markup take the plain split; only the others pay for the grammar.
+        """
+        plain = F.split(line, _split_pattern(self.delimiter), -1)
+        if self.escape:
+            return F.when(self._has_markup(line), self._split_escaped(line)).otherwise(plain)
+        if self.quote:
+            return F.when(self._has_markup(line), self._split_quoted(line)).otherwise(plain)
+        return plain
+
+    def _split_quoted(self, line: Column) -> Column:
+        """Split by rewriting the line with line feeds for delimiters; a physical line has none.
+
+        No lambda is involved, so the whole load stays in one generated stage.
+        """
+        delimiter, quote = _literal(self.delimiter), _literal(self.quote)
+        body = f"[^{quote}]*+(?:{quote}{quote}[^{quote}]*+)*+"
+        after = rf"[\p{{javaWhitespace}}&&[^{delimiter}]]*+"
+        cell = f"{delimiter}(?:({quote})({body}){quote}{after}|([^{delimiter}]*+))"
+        # A plain cell becomes \n + text, a quoted one \n + quote + body; no plain cell begins with a quote.
+        listed = F.regexp_replace(F.concat(F.lit(self.delimiter), line), F.lit(cell), F.lit("\n$1$2$3"))
+        # From the mark of a quoted cell on, match by match up to its end, two quotes stand for one.
+        doubled = f"(\n{quote}|\\G(?!^))([^\n{quote}]*+){quote}{quote}"
+        single = F.regexp_replace(listed, F.lit(doubled), F.lit("$1$2\\" + self.quote))
+        unmarked = F.replace(single, F.lit("\n" + self.quote), F.lit("\n"))
+        return F.split(F.substring(unmarked, 2, 2**31 - 1), "\n", -1)
+
+    def _split_escaped(self, line: Column) -> Column:
         pattern = f"(?s){_literal(self.delimiter)}({self._cell})"
         raw = F.regexp_extract_all(F.concat(F.lit(self.delimiter), line), F.lit(pattern), F.lit(1))
-        return F.when(self._has_markup(line), F.transform(raw, self._resolve)).otherwise(plain)
+        return F.transform(raw, self._resolve)
 
     def _resolve(self, cell: Column) -> Column:
-        bare = cell
-        if self.escape:
-            bare = F.when(F.contains(cell, F.lit(self.escape)), self._unescape(cell, quoted=False)).otherwise(cell)
+        text = F.when(F.contains(cell, F.lit(self.escape)), self._unescape(cell, quoted=False)).otherwise(cell)
         if not self.quote:
-            return bare
+            return text
         quote = _literal(self.quote)
         inner = F.regexp_extract(cell, f"(?s)^{quote}(.*){quote}", 1)
-        if self.escape:
-            unquoted = self._unescape(inner, quoted=True)
-        else:
-            unquoted = F.replace(inner, F.lit(self.quote * 2), F.lit(self.quote))
-        return F.when(cell.startswith(self.quote), unquoted).otherwise(bare)
+        return F.when(cell.startswith(self.quote), self._unescape(inner, quoted=True)).otherwise(text)
 
     def _unescape(self, cell: Column, quoted: bool) -> Column:
         """Resolve escapes in one left-to-right pass over the pieces of the cell."""
@@ -122,3 +141,8 @@ class Dialect:
 def _literal(char: str) -> str:
     """A character as a regex escape that is valid inside and outside a character class."""
     return f"\\x{{{ord(char):x}}}" if char else ""
+
+
+def _split_pattern(char: str) -> str:
+    """A character as a regex in the form that Java splits on without its regex engine."""
+    return "\\" + char if char.isascii() and char.isprintable() and not char.isalnum() else char

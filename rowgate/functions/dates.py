@@ -10,7 +10,6 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from rowgate.functions.cells import trim_blanks
-from rowgate.functions.numbers import whole_number
 
 _LAST_MILLISECOND = (2**63 - 1) // 1000  # the last one a microsecond timestamp can hold
 _PATTERN_PART = re.compile(r"'[^']*'|([A-Za-z])\1*|[^A-Za-z']+")
@@ -31,10 +30,10 @@ class DateRule:
     zone: str | None = None
 
     def read(self, cell: Column) -> Column:
-        """Timestamp, or null when unreadable. All-digit text is epoch milliseconds as is."""
-        millis = F.coalesce(whole_number(cell, "bigint"), F.lit(0))
+        """Timestamp, or null when unreadable. Text of ASCII digits is epoch milliseconds as is."""
+        millis = F.coalesce(cell.try_cast("bigint"), F.lit(0))
         instant = F.when(millis <= _LAST_MILLISECOND, F.timestamp_millis(millis))
-        return F.when(cell.rlike(r"^\p{Nd}++\z"), instant).otherwise(self._read_written(cell))
+        return F.when(cell.rlike(r"^[0-9]++\z"), instant).otherwise(self._read_written(cell))
 
     def _read_written(self, cell: Column) -> Column:
         if self.pattern is None:

@@ -2,21 +2,18 @@
 
 from __future__ import annotations
 
-import unicodedata
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-_OTHER_DIGITS = [chr(code) for code in range(0x80, 0x10000) if unicodedata.category(chr(code)) == "Nd"]
-_AS_ASCII = "".join(str(unicodedata.decimal(digit)) for digit in _OTHER_DIGITS)
-
 
 def whole_number(cell: Column, sql_type: str) -> Column:
-    """Sign and decimal digits of any script, within the range of ``int`` or ``bigint``."""
-    ascii_digits = F.when(cell.rlike(r"^[+-]?[0-9]++\z"), cell.try_cast(sql_type))
-    translated = F.translate(cell, "".join(_OTHER_DIGITS), _AS_ASCII)
-    any_digits = F.when(cell.rlike(r"^[+-]?\p{Nd}++\z"), translated.try_cast(sql_type))
-    return F.coalesce(ascii_digits, any_digits)
+    """Sign and ASCII digits, within the range of ``int`` or ``bigint``.
+
+    The cast alone would also take blanks and control characters around the digits.
+    """
+    last = F.substring(cell, -1, 1)
+    bare = (cell >= "+") & (cell < ":") & (last >= "0") & (last < ":")
+    return F.when(bare, cell.try_cast(sql_type))
 
 
 def is_written_number(cell: Column, parsed: Column) -> Column:

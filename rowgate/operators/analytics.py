@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from rowgate.operators.joins import listed_join
 from rowgate.session import new_folder
 from rowgate.spec import ref
 
@@ -16,45 +17,63 @@ def groupby_having(rows: DataFrame, keys: list[str], aggregates: list[Column], h
 def percentile(rows: DataFrame, group: str, value: str, fraction: float) -> DataFrame:
     """``(group, percentile)``, exact and interpolated, without holding a group in one task.
 
-    Equal values are counted first, the distinct ones are spread by range over all tasks, and the
-    ranks follow from the totals per range; only ranges that hold a wanted rank are ranked by row.
+    Equal values are counted first and the distinct ones spread by range over all tasks, one folder
+    per range. Totals per range tell which ranges hold a wanted rank; only those are read again and
+    ranked value by value, each on its own.
     """
     spark = rows.sparkSession
-    path = new_folder(spark, "ranges")
+    spread_path, wanted_path = new_folder(spark, "ranges"), new_folder(spark, "wanted")
     (
         rows.where(ref(value).isNotNull())
         .groupBy(ref(group).alias("g"), ref(value).cast("double").alias("v"))
         .agg(F.count("*").alias("n"))
         .repartitionByRange("g", "v")
         .withColumn("part", F.spark_partition_id())
-        .write.parquet(path)
+        .write.partitionBy("part")
+        .parquet(spread_path)
     )
-    spread = spark.read.schema("g {}, v double, n bigint, part int".format(rows.schema[group].dataType.simpleString())).parquet(path)
+    group_type = rows.schema[group].dataType.simpleString()
+    spread = spark.read.schema(f"g {group_type}, v double, n bigint, part int").parquet(spread_path)
     by_group = Window.partitionBy("g")
-    position = (F.col("total") - 1) * F.lit(fraction)
-    totals = (
+    (
         spread.groupBy("g", "part")
         .agg(F.sum("n").alias("inside"))
         .withColumn("before", F.sum("inside").over(by_group.orderBy("part")) - F.col("inside"))
-        .withColumn("total", F.sum("inside").over(by_group))
-        .withColumn("low", F.floor(position))
-        .withColumn("high", F.ceil(position))
-        .withColumn("weight", position - F.col("low"))
-    )
-    reach = lambda rank, start, size: (F.col(rank) >= start) & (F.col(rank) < start + size)
-    wanted = totals.where(
-        reach("low", F.col("before"), F.col("inside")) | reach("high", F.col("before"), F.col("inside"))
+        .withColumn("position", (F.sum("inside").over(by_group) - 1) * F.lit(fraction))
+        .withColumn("low", F.floor("position"))
+        .withColumn("high", F.ceil("position"))
+        .where(_covers("low", "before", "inside") | _covers("high", "before", "inside"))
+        .write.parquet(wanted_path)
     )
-    ranked = spread.join(wanted, ["g", "part"]).withColumn(
-        "start", F.col("before") + F.sum("n").over(Window.partitionBy("g", "part").orderBy("v")) - F.col("n")
-    )
-    at = lambda rank: F.max(F.when(reach(rank, F.col("start"), F.col("n")), F.col("v")))
-    low, high = at("low"), at("high")
-    result = ranked.groupBy("g").agg((low + (high - low) * F.max("weight")).alias("percentile"))
-    return result.select(F.col("g").alias(group), "percentile")
+    wanted = spark.read.parquet(wanted_path)
+    parts = [row.part for row in wanted.select("part").distinct().collect()]  # at most one per range
+    before_value = F.sum("n").over(Window.partitionBy("g", "part").orderBy("v")) - F.col("n")
+    ranked = spread.where(F.col("part").isin(parts)).join(wanted, ["g", "part"])
+    ranked = ranked.withColumn("before", F.col("before") + before_value)
+    low = F.max(F.when(_covers("low", "before", "n"), F.col("v")))
+    high = F.max(F.when(_covers("high", "before", "n"), F.col("v")))
+    weight = F.max(F.col("position") - F.col("low"))
+    return ranked.groupBy(F.col("g").alias(group)).agg((low + (high - low) * weight).alias("percentile"))
+
 
+def _covers(rank: str, before: str, size: str) -> Column:
+    """Whether the 0-based rank falls among ``size`` values that have ``before`` others below them."""
+    return (F.col(rank) >= F.col(before)) & (F.col(rank) < F.col(before) + F.col(size))
 
-def filter_by_list(rows: DataFrame, column: str, values: list, not_in_list: bool = False) -> DataFrame:
+
+def filter_by_list(
+    rows: DataFrame, column: str, values: list | DataFrame, not_in_list: bool = False, salt: Column | None = None
+) -> DataFrame:
+    """Rows whose value is listed, or (``not_in_list``) not listed. Null values are in neither.
+
+    The list may be a one-column DataFrame; it is broadcast only when its counted size allows it.
+    ``salt`` is a deterministic whole-number column of ``rows`` that spreads frequent values.
+    """
+    if isinstance(values, DataFrame):
+        present = rows.where(ref(column).isNotNull())
+        listed = values.toDF(column).where(ref(column).isNotNull()).distinct()
+        spread = F.xxhash64(*map(ref, rows.columns)) if salt is None else salt
+        return listed_join(present, listed, [column], spread, "left_anti" if not_in_list else "left_semi")
     listed = ref(column).isin(values)
     return rows.where(~listed if not_in_list else listed)
 

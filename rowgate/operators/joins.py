@@ -1,4 +1,4 @@
-"""Anti join against a key list whose size is not known beforehand."""
+"""Semi and anti join with a key list whose size is not known beforehand."""
 
 from __future__ import annotations
 
@@ -11,10 +11,11 @@ BROADCAST_ROWS = 100_000
 SALTS = 64
 
 
-def anti_join(
-    left: DataFrame, listed: DataFrame, keys: list[str], salt: Column, broadcast_rows: int = BROADCAST_ROWS
+def listed_join(
+    left: DataFrame, listed: DataFrame, keys: list[str], salt: Column, how: str, broadcast_rows: int = BROADCAST_ROWS
 ) -> DataFrame:
-    """Rows of ``left`` whose keys are not listed, safe when one key holds much of ``left``.
+    """Rows of ``left`` whose keys are (``left_semi``) or are not (``left_anti``) listed, safe when
+    one key holds much of ``left``.
 
     The (distinct) list is written once and counted. Up to ``broadcast_rows`` keys are broadcast, so
     ``left`` does not move. A longer list is repeated once per salt, and ``left`` is spread over the
@@ -24,7 +25,7 @@ def anti_join(
     listed.write.parquet(path)
     listed = left.sparkSession.read.schema(listed.schema).parquet(path)
     if listed.count() <= broadcast_rows:
-        return left.join(F.broadcast(listed), keys, "left_anti")
+        return left.join(F.broadcast(listed), keys, how).select(*left.columns)
     salted_list = listed.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     salted_left = left.withColumn("_salt", F.pmod(F.xxhash64(salt), F.lit(SALTS)).cast("int"))
-    return salted_left.join(salted_list, [*keys, "_salt"], "left_anti").drop("_salt")
+    return salted_left.join(salted_list, [*keys, "_salt"], how).select(*left.columns)

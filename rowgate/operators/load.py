@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 from rowgate.functions import coerce
 from rowgate.functions.cells import Dialect
 from rowgate.functions.dates import DateRule
-from rowgate.operators.joins import anti_join
+from rowgate.operators.joins import listed_join
 from rowgate.session import new_folder, require_utc
 from rowgate.spec import LOAD_COLUMN, STATUS_COLUMN, TableSpec, ref
 
@@ -45,14 +45,13 @@ def tag_lines(
         "line",
         "file",
         "block",
-        F.monotonically_increasing_id().alias("row"),
         dialect.is_malformed(F.col("line")).alias("malformed"),
         dialect.split(F.col("line")).alias("cells"),
     )
     width = len(spec.names)
     line_reason = F.when(F.col("malformed"), MALFORMED).when(F.size("cells") != width, ARITY)
     texts = [F.get("cells", F.lit(i)) for i in range(width)]
-    return _tag(cells, ["line", "file", "block", "row"], texts, spec, dates, coerce.judge_strict, line_reason)
+    return _tag(cells, texts, spec, dates, coerce.judge_strict, line_reason)
 
 
 def tag_attributes(
@@ -67,15 +66,13 @@ def tag_attributes(
         F.to_json(ref(attributes)).alias("line"),
         F.lit(None).cast("string").alias("file"),
         F.lit(0).cast("bigint").alias("block"),
-        F.monotonically_increasing_id().alias("row"),
     )
     texts = [F.element_at("attributes", F.lit(name)) for name in spec.names]
-    return _tag(placed, ["line", "file", "block", "row"], texts, spec, dates, coerce.judge_lenient, None)
+    return _tag(placed, texts, spec, dates, coerce.judge_lenient, None)
 
 
 def _tag(
     rows: DataFrame,
-    facts: list[str],
     texts: list[Column],
     spec: TableSpec,
     dates: DateRule,
@@ -83,6 +80,7 @@ def _tag(
     line_reason: Column | None,
 ) -> DataFrame:
     fields = list(spec.schema)
+    facts = ["line", "file", "block"]
     reason = [] if line_reason is None else [line_reason]
     picked = rows.select(
         *facts,
@@ -105,6 +103,7 @@ def _tag(
         F.coalesce("line_reason", *cell_reasons).alias("reason"),
         F.when(F.col("line_reason").isNull(), bad_field).alias("field"),
         *facts,
+        F.monotonically_increasing_id().alias("row"),
     )
     return valued.select(
         *[F.col(f"value_{i}").alias(f.name, metadata=f.metadata) for i, f in enumerate(fields)],
@@ -164,12 +163,9 @@ class StagedLoad:
     def accepted_whole_files(self) -> DataFrame:
         """Accepted rows of the files that have no reject: one bad row fails its whole file."""
         files = self.rejects.select("file").distinct()
-        return anti_join(
-            self.accepted.withColumn("file", F.col(f"{LOAD_COLUMN}.file")),
-            files,
-            ["file"],
-            salt=F.col(f"{LOAD_COLUMN}.row"),
-        ).drop("file")
+        rows = self.accepted.withColumn("_file", F.col(f"{LOAD_COLUMN}.file"))
+        salt = F.col(f"{LOAD_COLUMN}.row")
+        return listed_join(rows, files.toDF("_file"), ["_file"], salt, "left_anti").drop("_file")
 
 
 def stage(tagged: DataFrame, spec: TableSpec, path: str | None = None) -> StagedLoad:

@@ -18,7 +18,7 @@ from rowgate.operators.merge import conform, insert_or_ignore, insert_or_update,
 from rowgate.operators.tables import Table, declare_table, read_table
 from rowgate.plans import fixtures
 from rowgate.plans.fixtures import EVENT_DATES, EVENT_SPEC, attribute_records, delimited, event_files, table
-from rowgate.session import new_folder
+from rowgate.session import configure, new_folder
 from rowgate.sources.delimited import read_lines
 from rowgate.streaming.feed import start_delimited_feed, start_json_feed, subscribe
 from rowgate.streaming.loads import start_file_load, start_record_load
@@ -30,8 +30,7 @@ _QUERIES: dict[str, Query] = {}
 
 def query(function: Query) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        spark.conf.set("spark.sql.session.timeZone", "UTC")
-        return function(spark, sf_dir)
+        return function(configure(spark), sf_dir)
 
     _QUERIES[function.__name__] = run
     return run
@@ -497,6 +496,20 @@ def filter_not_in_list(spark, sf_dir):
     return analytics.filter_by_list(events, "event_type", ["view", "click"], not_in_list=True).select("event_id", "event_type")
 
 
+@query
+def filter_in_list_table(spark, sf_dir):
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+    listed = table(spark, sf_dir, "customer").where("c_acctbal < 0").select("c_custkey")
+    return analytics.filter_by_list(orders, "o_custkey", listed, salt=F.col("o_orderkey"))
+
+
+@query
+def filter_not_in_list_table(spark, sf_dir):
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+    listed = table(spark, sf_dir, "customer").where("c_acctbal < 0").select("c_custkey")
+    return analytics.filter_by_list(orders, "o_custkey", listed, not_in_list=True, salt=F.col("o_orderkey"))
+
+
 @query
 def page_records(spark, sf_dir):
     return analytics.page_records(table(spark, sf_dir, "events").select("event_id", "user_id"), "event_id", 499, 100)

@@ -112,6 +112,10 @@ FROM events WHERE event_id % 50 IN {_BAD_EVENTS}""",
     "stat_percentile": "SELECT event_type, round(quantile_cont(value, 0.9), 6) AS p90 FROM events GROUP BY 1",
     "filter_in_list": "SELECT event_id, event_type FROM events WHERE event_type IN ('view', 'click')",
     "filter_not_in_list": "SELECT event_id, event_type FROM events WHERE event_type NOT IN ('view', 'click')",
+    "filter_in_list_table": """
+SELECT o_orderkey, o_custkey FROM orders WHERE o_custkey IN (SELECT c_custkey FROM customer WHERE c_acctbal < 0)""",
+    "filter_not_in_list_table": """
+SELECT o_orderkey, o_custkey FROM orders WHERE o_custkey NOT IN (SELECT c_custkey FROM customer WHERE c_acctbal < 0)""",
     "page_records": """
 SELECT event_id, user_id, (SELECT count(*) FROM events WHERE event_id > 499) > 100 AS has_more
 FROM events WHERE event_id > 499 ORDER BY event_id LIMIT 100""",

@@ -9,15 +9,29 @@ from pyspark.sql import SparkSession
 
 _LOCAL_FOLDERS: dict[str, str] = {}
 
+# Session settings the operators rely on; all can be set at run time.
+SETTINGS = {
+    "spark.sql.session.timeZone": "UTC",
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    # HotSpot never compiles methods beyond 8000 bytes of bytecode. A load of a wide table would
+    # stay interpreted in one such method; with this limit Spark splits it into small ones instead.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
+}
+
+
+def configure(spark: SparkSession) -> SparkSession:
+    """Apply the settings to a session made elsewhere."""
+    for key, value in SETTINGS.items():
+        spark.conf.set(key, value)
+    return spark
+
 
 def build_session(app: str = "rowgate", master: str | None = None, **conf: str) -> SparkSession:
     """A session with the settings the operators rely on; ``conf`` keys use ``__`` for dots."""
-    builder = (
-        SparkSession.builder.appName(app)
-        .config("spark.sql.session.timeZone", "UTC")
-        .config("spark.sql.adaptive.enabled", "true")
-        .config("spark.sql.adaptive.skewJoin.enabled", "true")
-    )
+    builder = SparkSession.builder.appName(app)
+    for key, value in SETTINGS.items():
+        builder = builder.config(key, value)
     if master:
         builder = builder.master(master)
     for key, value in conf.items():

@@ -15,25 +15,31 @@ def read_lines(
 ) -> DataFrame:
     """One row ``(line, file, block)`` per physical line; the header of each file is dropped.
 
-    The CSV reader is used as a line reader because it drops headers per file and still splits
-    large files. A line that holds U+FFFF comes back whole through the raw-record column. Lines
-    that are empty or only blanks are not delivered; a line that begins with the noncharacter
-    U+FFFE may lose it. Pass ``files_per_trigger`` (0 for no cap) to get a streaming DataFrame.
+    Large files are split. Empty lines are not delivered. With headers the CSV reader is used as a
+    line reader, because it alone drops them per file: it also skips lines of nothing but blanks,
+    and a line that begins with the noncharacter U+FFFE may lose it. (A line that holds the
+    separator U+FFFF comes back whole through the raw-record column.)
+    Pass ``files_per_trigger`` (0 for no cap) to get a streaming DataFrame.
     """
     reader = spark.read if files_per_trigger is None else spark.readStream
     if files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
-    raw = (
-        reader.schema("line string, raw string")
-        .option("header", has_header)
-        .option("sep", _NO_SEPARATOR)
-        .option("quote", _NO_QUOTE)
-        .option("columnNameOfCorruptRecord", "raw")
-        .option("recursiveFileLookup", True)
-        .csv(path)
-    )
+    reader = reader.option("recursiveFileLookup", True)
+    if has_header:
+        raw = (
+            reader.schema("line string, raw string")
+            .option("header", True)
+            .option("sep", _NO_SEPARATOR)
+            .option("quote", _NO_QUOTE)
+            .option("columnNameOfCorruptRecord", "raw")
+            .csv(path)
+        )
+        line = F.coalesce("raw", "line")
+    else:
+        raw = reader.schema("value string").text(path).where("value != ''")
+        line = F.col("value")
     return raw.select(
-        F.coalesce("raw", "line").alias("line"),
+        line.alias("line"),
         F.col("_metadata.file_path").alias("file"),
         F.col("_metadata.file_block_start").alias("block"),
     )
