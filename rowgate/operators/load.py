@@ -1,7 +1,7 @@
 """Tagging loads: every input row becomes one typed row plus a ``_load`` struct that says what
 happened to it.
 
-``_load`` holds ``reason`` and ``field`` (null when accepted), ``line`` (the raw text), ``file``,
+``_load`` holds ``reason``, ``field`` and ``line``, the raw text, (all null when accepted), ``file``,
 ``block`` and ``row``; the last three order the rows of a load. Nothing here shuffles except the
 whole-file rule and the counts, and those only shuffle one row per file and task.
 """
@@ -51,7 +51,7 @@ def tag_lines(
     width = len(spec.names)
     line_reason = F.when(F.col("malformed"), MALFORMED).when(F.size("cells") != width, ARITY)
     texts = [F.get("cells", F.lit(i)) for i in range(width)]
-    return _tag(cells, texts, spec, dates, coerce.judge_strict, line_reason)
+    return _tag(cells, "line", F.col("line"), texts, spec, dates, coerce.judge_strict, line_reason)
 
 
 def tag_attributes(
@@ -63,16 +63,17 @@ def tag_attributes(
         require_utc(records.sparkSession)
     placed = records.select(
         ref(attributes).alias("attributes"),
-        F.to_json(ref(attributes)).alias("line"),
         F.lit(None).cast("string").alias("file"),
         F.lit(0).cast("bigint").alias("block"),
     )
     texts = [F.element_at("attributes", F.lit(name)) for name in spec.names]
-    return _tag(placed, texts, spec, dates, coerce.judge_lenient, None)
+    return _tag(placed, "attributes", F.to_json("attributes"), texts, spec, dates, coerce.judge_lenient, None)
 
 
 def _tag(
     rows: DataFrame,
+    raw: str,
+    text_of: Column,
     texts: list[Column],
     spec: TableSpec,
     dates: DateRule,
@@ -80,7 +81,7 @@ def _tag(
     line_reason: Column | None,
 ) -> DataFrame:
     fields = list(spec.schema)
-    facts = ["line", "file", "block"]
+    facts = [raw, "file", "block"]
     reason = [] if line_reason is None else [line_reason]
     picked = rows.select(
         *facts,
@@ -99,13 +100,21 @@ def _tag(
     )
     cell_reasons = [F.col(f"reason_{i}") for i in range(len(fields))]
     bad_field = F.coalesce(*[F.when(r.isNotNull(), F.lit(f.name)) for r, f in zip(cell_reasons, fields)])
-    load = F.struct(
+    reasoned = valued.select(
+        *[F.col(f"value_{i}") for i in range(len(fields))],
+        *facts,
         F.coalesce("line_reason", *cell_reasons).alias("reason"),
         F.when(F.col("line_reason").isNull(), bad_field).alias("field"),
-        *facts,
+    )
+    load = F.struct(
+        "reason",
+        "field",
+        F.when(F.col("reason").isNotNull(), text_of).alias("line"),
+        "file",
+        "block",
         F.monotonically_increasing_id().alias("row"),
     )
-    return valued.select(
+    return reasoned.select(
         *[F.col(f"value_{i}").alias(f.name, metadata=f.metadata) for i, f in enumerate(fields)],
         load.alias(LOAD_COLUMN),
     )
@@ -160,24 +169,26 @@ class StagedLoad:
     def rejects(self) -> DataFrame:
         return self.tagged.where(F.col(STATUS_COLUMN) == REJECTED).select(f"{LOAD_COLUMN}.*")
 
+    @property
+    def failed_files(self) -> DataFrame:
+        """The files with at least one reject."""
+        return self.rejects.select("file").distinct()
+
     def accepted_whole_files(self) -> DataFrame:
         """Accepted rows of the files that have no reject: one bad row fails its whole file."""
-        files = self.rejects.select("file").distinct()
         rows = self.accepted.withColumn("_file", F.col(f"{LOAD_COLUMN}.file"))
         salt = F.col(f"{LOAD_COLUMN}.row")
-        return listed_join(rows, files.toDF("_file"), ["_file"], salt, "left_anti").drop("_file")
+        return listed_join(rows, self.failed_files.toDF("_file"), ["_file"], salt, "left_anti").drop("_file")
 
 
 def stage(tagged: DataFrame, spec: TableSpec, path: str | None = None) -> StagedLoad:
-    """Write a tagged load, split by status; raw text is kept for rejects only."""
+    """Write a tagged load, split by status."""
     spark = tagged.sparkSession
     path = path or new_folder(spark, "load")
     totals = Observation()
-    load = F.col(LOAD_COLUMN)
     (
         tagged.observe(totals, F.count_if(is_accepted()).alias("accepted"), F.count_if(~is_accepted()).alias("rejected"))
         .withColumn(STATUS_COLUMN, F.when(is_accepted(), ACCEPTED).otherwise(REJECTED))
-        .withColumn(LOAD_COLUMN, load.withField("line", F.when(load["reason"].isNotNull(), load["line"])))
         .write.mode("overwrite")
         .partitionBy(STATUS_COLUMN)
         .parquet(path)

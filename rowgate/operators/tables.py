@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rowgate.operators.merge import conform, insert_or_update, new_rows, one_per_key
-from rowgate.session import is_complete
+from rowgate.session import delete_folder, is_complete, list_folders, same_folder
 from rowgate.spec import TableSpec, parse_spec
 
 FOLDER, REPLICATED = "rowgate.folder", "rowgate.replicated"
@@ -62,6 +62,22 @@ class Table:
                 self._write_keyed(rows, order, load_id, update)
         self._refresh()
 
+    def drop_old_data(self) -> list[str]:
+        """Delete versions the table no longer points at and the working folders of finished loads.
+
+        An updating load leaves the version before it for readers that still use it; call this when
+        there are none. Returns the deleted folders.
+        """
+        if self.folder is None:
+            return []
+        old = [v for v in list_folders(self.spark, f"{self.folder}/versions") if not same_folder(v, self.location)]
+        for work in list_folders(self.spark, f"{self.folder}/work"):
+            if self.holds_load(work.rsplit("/load=", 1)[-1]):
+                old.append(work)
+        for path in old:
+            delete_folder(self.spark, path)
+        return old
+
     def _write_keyed(self, rows: DataFrame, order: Column, load_id: str, update: bool) -> None:
         keys, columns, work = self.spec.keys, self.spec.names, self.work_folder(load_id)
         chosen = one_per_key(rows, keys, order, columns, "last" if update else "first")

@@ -156,9 +156,9 @@ _ORDER_SPEC = (
 _ORDER_DATES = DateRule("yyyy-MM-dd HH:mm:ss", "UTC")
 
 
-def _order_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _order_records(spark: SparkSession, sf_dir: str) -> str:
     other_case = F.when(F.col("o_orderkey") % 11 == 0, "O_CUSTKEY").otherwise("o_custkey")
-    return attribute_records(table(spark, sf_dir, "orders"), _order_entries(), {"o_custkey": other_case})
+    return attribute_records(spark, sf_dir, "order-records", "orders", _order_entries(), {"o_custkey": other_case})
 
 
 def _order_rows(rows: DataFrame) -> DataFrame:
@@ -167,8 +167,8 @@ def _order_rows(rows: DataFrame) -> DataFrame:
 
 @query
 def load_attributes(spark, sf_dir):
-    tagged = tag_attributes(_order_records(spark, sf_dir), "attrs", parse_spec(_ORDER_SPEC), _ORDER_DATES)
-    return _order_rows(accepted(tagged))
+    records = spark.read.parquet(_order_records(spark, sf_dir))
+    return _order_rows(accepted(tag_attributes(records, "attrs", parse_spec(_ORDER_SPEC), _ORDER_DATES)))
 
 
 @query
@@ -180,15 +180,15 @@ def load_attributes_lenient(spark, sf_dir):
         "o_custkey": F.when(k % 10 == 3, "1.5").otherwise(F.col("o_custkey").cast("string")),
         "o_totalprice": F.when(k % 6 == 0, "n/a").when(k % 6 == 1, "  ").when(k % 6 != 2, price),
     }
-    records = attribute_records(table(spark, sf_dir, "orders"), entries)
+    folder = attribute_records(spark, sf_dir, "orders-lenient", "orders", entries)
     spec = parse_spec("o_orderkey|long|$primary_key,o_custkey|long,o_totalprice|double")
-    return accepted(tag_attributes(records, "attrs", spec))
+    return accepted(tag_attributes(spark.read.parquet(folder), "attrs", spec))
 
 
 def _orders_with_bad_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
     written = F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss")
     entries = {"o_orderkey": F.col("o_orderkey"), "o_orderdate": F.when(F.col("o_orderkey") % 13 == 4, "soon").otherwise(written)}
-    records = attribute_records(table(spark, sf_dir, "orders"), entries)
+    records = spark.read.parquet(attribute_records(spark, sf_dir, "orders-dates", "orders", entries))
     return tag_attributes(records, "attrs", parse_spec("o_orderkey|long|$primary_key,o_orderdate|long|timestamp"), _ORDER_DATES)
 
 
@@ -302,7 +302,8 @@ def table_load_and_update(spark, sf_dir):
         "value": F.col("value"),
         "ts": F.date_format("ts", EVENT_DATES),
     }
-    load_records(attribute_records(table(spark, sf_dir, "events"), entries), "attrs", stored, dates, update=True)
+    records = spark.read.parquet(attribute_records(spark, sf_dir, "event-updates", "events", entries))
+    load_records(records, "attrs", stored, dates, update=True)
     return _event_rows(stored.read())
 
 
@@ -360,14 +361,9 @@ def stream_load_rows(spark, sf_dir):
 
 @query
 def stream_load_attributes(spark, sf_dir):
-    """Attribute records arriving as JSON files, loaded as a stream."""
-
-    def write(folder: str) -> None:
-        _order_records(spark, sf_dir).write.json(folder)
-
-    folder = fixtures.rendered(spark, sf_dir, "order-records", write)
+    """Attribute records arriving as files, loaded as a stream."""
     loaded = _new_table(spark, "orders", _ORDER_SPEC)
-    records = spark.readStream.schema("attrs map<string,string>").json(folder)
+    records = spark.readStream.schema("attrs map<string,string>").parquet(_order_records(spark, sf_dir))
     start_record_load(records, "attrs", loaded, new_folder(spark, "checkpoint"), _ORDER_DATES).awaitTermination()
     return _order_rows(loaded.read())
 

@@ -103,8 +103,19 @@ def delimited(
     return rendered(spark, sf_dir, name, write)
 
 
-def attribute_records(rows: DataFrame, entries: dict[str, Column], keys: dict[str, Column] = {}) -> DataFrame:
-    """``attrs`` maps from name -> text; a null text leaves the entry out. ``keys`` renames entries."""
-    pairs = F.array(*[F.struct(keys.get(n, F.lit(n)).alias("key"), c.cast("string").alias("value")) for n, c in entries.items()])
+def attribute_records(
+    spark: SparkSession, sf_dir: str, name: str, source: str, entries: dict[str, Column], keys: dict[str, Column] | None = None
+) -> str:
+    """A whole table as Parquet records with one map column ``attrs`` of name -> text.
+
+    A null text leaves the entry out; ``keys`` gives some entries another name, row by row.
+    """
+    names = {n: F.lit(n) for n in entries} | (keys or {})
+    pairs = F.array(*[F.struct(names[n].alias("key"), text.cast("string").alias("value")) for n, text in entries.items()])
     present = F.filter(pairs, lambda pair: pair["value"].isNotNull())
-    return rows.select(F.map_from_entries(present).alias("attrs"))
+
+    def write(folder: str) -> None:
+        rows = table(spark, sf_dir, source).repartition(spark.sparkContext.defaultParallelism)
+        rows.select(F.map_from_entries(present).alias("attrs")).write.parquet(folder)
+
+    return rendered(spark, sf_dir, name, write)

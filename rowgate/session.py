@@ -67,7 +67,30 @@ def new_folder(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
 
 
+def _hadoop_path(spark: SparkSession, path: str):
+    found = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return found, found.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
 def is_complete(spark: SparkSession, path: str) -> bool:
     """Whether a Spark write to ``path`` has committed."""
-    marker = spark._jvm.org.apache.hadoop.fs.Path(path, "_SUCCESS")
-    return marker.getFileSystem(spark._jsc.hadoopConfiguration()).exists(marker)
+    marker, files = _hadoop_path(spark, f"{path}/_SUCCESS")
+    return files.exists(marker)
+
+
+def list_folders(spark: SparkSession, path: str) -> list[str]:
+    """The folders directly below ``path``, none if it does not exist."""
+    parent, files = _hadoop_path(spark, path)
+    if not files.exists(parent):
+        return []
+    return [str(status.getPath()) for status in files.listStatus(parent) if status.isDirectory()]
+
+
+def same_folder(one: str, other: str) -> bool:
+    """Whether two spellings (with or without scheme) name one folder."""
+    return one.rstrip("/").split(":", 1)[-1].lstrip("/") == other.rstrip("/").split(":", 1)[-1].lstrip("/")
+
+
+def delete_folder(spark: SparkSession, path: str) -> None:
+    folder, files = _hadoop_path(spark, path)
+    files.delete(folder, True)

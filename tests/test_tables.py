@@ -116,6 +116,18 @@ def test_update_that_fails_on_the_way_changes_nothing_and_resumes(spark, put, na
     assert sorted(map(tuple, log.collect())) == [(1, "a"), (2, "y")]
 
 
+def test_old_versions_are_dropped_on_request(spark, put, name):
+    table = declare_table(spark, name, KEYED)
+    for i in range(3):
+        load_files(spark, put(f"k,v\n1,a{i}\n{i + 2},b\n", folder=f"in{i}"), table, update=True, load_id=f"l{i}")
+    dropped = sorted(path.split(table.folder.split(":")[-1])[-1] for path in table.drop_old_data())
+    assert dropped == ["/versions/l0", "/versions/l1", "/work/load=l0", "/work/load=l1", "/work/load=l2"]
+    assert rows(table) == [(1, "a2"), (2, "b"), (3, "b"), (4, "b")]
+    load_files(spark, put("k,v\n1,late\n", folder="in1"), table, update=True, load_id="l1")
+    assert rows(table) == [(1, "a2"), (2, "b"), (3, "b"), (4, "b")]
+    assert table.drop_old_data() == ["file:" + table.folder.split(":")[-1] + "/work/load=l1"]
+
+
 def test_composite_key_and_keyless(spark, put, name):
     table = declare_table(spark, name, "a|int|$primary_key(1),b|int|$primary_key(0),v|string")
     load_files(spark, put("h\n1,1,p\n1,2,q\n1,1,r\n", folder="one"), table, update=True)
