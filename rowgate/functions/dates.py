@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import itertools
 import re
 from dataclasses import dataclass
 
@@ -39,7 +38,7 @@ class DateRule:
         if self.pattern is None:
             return F.lit(None).cast("timestamp")
         pattern = spark_pattern(self.pattern)
-        written = F.try_to_timestamp(trim_blanks(cell), F.lit(pattern))
+        written = F.try_to_timestamp(trim_blanks(cell), F.lit(pattern)).cast("timestamp")
         if self.zone is None or _ZONE_LETTERS & set(re.sub(r"'[^']*'", "", pattern)):
             return written
         return F.to_utc_timestamp(written, self.zone)
@@ -61,4 +60,4 @@ def spark_pattern(pattern: str) -> str:
         touches = before[:1].isalpha() or after[:1].isalpha()
         numeric = part[0] in "dHhms" or part in ("MM", "yyyy", "yyy")
         relaxed.append(part[0] if numeric and not touches else part)
-    return "".join(itertools.chain(relaxed))
+    return "".join(relaxed)

@@ -57,8 +57,10 @@ def write_rejects(
     Rows are spread by range of (source, place): small rejects make one file per source, a source
     with very many rejects makes several whose names sort in order. Headers are read again from the
     files that have rejects; give ``header_line`` when all files share one, to avoid that scan.
+    Rejected attribute records have no header (``has_header=False``) and go to ``source=records``.
     """
-    source = F.concat(F.substring_index("file", "/", -1), F.lit("-"), F.md5("file")).alias("source")
+    named = F.concat(F.substring_index("file", "/", -1), F.lit("-"), F.md5("file"))
+    source = F.coalesce(named, F.lit("records")).alias("source")
     lines = rejects.select("file", "block", "row", F.col("line").alias("value"))
     if has_header:
         files = rejects.select("file").distinct()

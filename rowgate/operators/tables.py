@@ -78,6 +78,12 @@ class Table:
             delete_folder(self.spark, path)
         return old
 
+    def drop(self) -> None:
+        """Remove the table and, if it was declared here, all its data."""
+        self.spark.sql(f"DROP TABLE {self.name}")
+        if self.folder is not None:
+            delete_folder(self.spark, self.folder)
+
     def _write_keyed(self, rows: DataFrame, order: Column, load_id: str, update: bool) -> None:
         keys, columns, work = self.spec.keys, self.spec.names, self.work_folder(load_id)
         chosen = one_per_key(rows, keys, order, columns, "last" if update else "first")
@@ -86,7 +92,7 @@ class Table:
             fresh = _write_once(new_rows(self.read(), incoming, keys), f"{work}/fresh")
             version = f"{self.folder}/versions/{load_id}"
             _write_once(insert_or_update(self.read(), incoming, keys), f"{version}/base")
-            self.spark.sql(f"ALTER TABLE {self.name} SET LOCATION '{version}'")
+            self.spark.sql(f"ALTER TABLE {self.name} SET LOCATION {_text(version)}")
             _write_once(fresh, f"{self.log}/load={load_id}")
             return
         current = self.location
@@ -123,7 +129,7 @@ def declare_table(
     )
     spark.sql(
         f"ALTER TABLE {qualified} SET TBLPROPERTIES"
-        f" ('{FOLDER}' = '{folder}', '{REPLICATED}' = '{str(replicated).lower()}')"
+        f" ('{FOLDER}' = {_text(folder)}, '{REPLICATED}' = '{str(replicated).lower()}')"
     )
     return open_table(spark, qualified)
 
@@ -161,5 +167,10 @@ def _default_folder(spark: SparkSession, qualified: str) -> str:
     return f"{found.locationUri.rstrip('/')}/{table}"
 
 
+def _text(value: str) -> str:
+    """A SQL string literal."""
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def _quoted(part: str) -> str:
     return "`" + part.strip("`").replace("`", "``") + "`"

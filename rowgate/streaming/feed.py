@@ -13,6 +13,8 @@ from rowgate.operators.tables import Table
 
 def inserted_rows(table: Table) -> DataFrame:
     """The insert log of a table as a stream. Updates and deletes are not part of it."""
+    if table.folder is None:
+        raise ValueError(f"{table.name} was not declared here and has no insert log")
     log = table.spark.readStream.schema(table.spec.schema).option("recursiveFileLookup", True)
     return log.parquet(table.log)
 

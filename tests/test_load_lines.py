@@ -49,8 +49,9 @@ def check_lines(spark, put, cases, dialect=Dialect()):
     """Load all lines as one file and compare cells, or the reject reason, line by line."""
     folder = put("".join(line + "\n" for line, _ in cases))
     rows = tag(spark, folder, TWO, dialect, has_header=False).orderBy("_load.file", "_load.block", "_load.row").collect()
-    found = [(r["_load"].line, r["_load"].reason or (r.a, r.b)) for r in rows]
-    assert found == cases
+    assert len(rows) == len(cases)
+    assert [(line, r["_load"].reason or (r.a, r.b)) for (line, _), r in zip(cases, rows)] == cases
+    assert all(r["_load"].line == (line if r["_load"].reason else None) for (line, _), r in zip(cases, rows))
 
 
 def test_well_formed_lines(spark, put):
@@ -189,7 +190,16 @@ CELLS = [
 ]
 
 
-def test_cell_rules(spark, put):
+@pytest.mark.parametrize("ansi", ["true", "false"])
+def test_cell_rules(spark, put, ansi):
+    spark.conf.set("spark.sql.ansi.enabled", ansi)
+    try:
+        check_cells(spark, put)
+    finally:
+        spark.conf.unset("spark.sql.ansi.enabled")
+
+
+def check_cells(spark, put):
     folder = put("".join(",".join({**GOOD, column: text}.values()) + "\n" for column, text, _ in CELLS))
     tagged = tag(spark, folder, TYPES, dates=DATES, has_header=False)
     rows = tagged.orderBy("_load.file", "_load.block", "_load.row").collect()

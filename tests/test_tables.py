@@ -218,11 +218,23 @@ def test_attribute_records(spark, name):
     assert [r.reason for r in report.rejects.collect()] == ["bad_timestamp"] * 2
 
 
-def test_attribute_record_without_its_key_fails(spark, name):
+def test_attribute_record_without_its_key_fails(spark, name, tmp_path):
     table = declare_table(spark, name, KEYED)
     report = load_records(records(spark, [{"k": "1"}, {"v": "x"}]), "attrs", table)
     assert rows(table) == [(1, None)]
     assert [(r.reason, r.field, r.line) for r in report.rejects.collect()] == [("null", "k", '{"v":"x"}')]
+    write_rejects(spark, report.rejects, str(tmp_path / "out"), has_header=False)
+    assert [f.read_text() for f in (tmp_path / "out").glob("source=records/part-*")] == ['{"v":"x"}\n']
+
+
+def test_dropped_table_can_be_declared_again(spark, put, tmp_path, name):
+    folder = str(tmp_path / "it's here")
+    for _ in range(2):
+        table = declare_table(spark, name, KEYED, folder=folder)
+        load_files(spark, put("k,v\n1,a\n1,b\n"), table, update=True)
+        assert rows(table) == [(1, "b")]
+        table.drop()
+        assert not spark.catalog.tableExists(name)
 
 
 def test_odd_column_names(spark, put, name):
