@@ -23,10 +23,17 @@ class DateRule:
 
     ``zone`` is the zone of the written wall-clock times; without one they are in the session zone.
     Out-of-range fields and text after the date make a cell unreadable; blanks around it do not.
+    With ``lenient``, fields roll over (month 13 is January of the next year) and text after the date
+    is ignored; patterns are then limited to numbers and the am/pm marker.
     """
 
     pattern: str | None = None
     zone: str | None = None
+    lenient: bool = False
+
+    def __post_init__(self) -> None:
+        if self.lenient and self.pattern is not None:
+            _lenient_layout(self.pattern)
 
     def read(self, cell: Column) -> Column:
         """Timestamp, or null when unreadable. Text of ASCII digits is epoch milliseconds as is."""
@@ -37,6 +44,8 @@ class DateRule:
     def _read_written(self, cell: Column) -> Column:
         if self.pattern is None:
             return F.lit(None).cast("timestamp")
+        if self.lenient:
+            return F.to_utc_timestamp(_roll_over(cell, self.pattern), F.lit(self.zone) if self.zone else F.current_timezone())
         pattern = spark_pattern(self.pattern)
         written = F.try_to_timestamp(trim_blanks(cell), F.lit(pattern)).cast("timestamp")
         if self.zone is None or _ZONE_LETTERS & set(re.sub(r"'[^']*'", "", pattern)):
@@ -61,3 +70,50 @@ def spark_pattern(pattern: str) -> str:
         numeric = part[0] in "dHhms" or part in ("MM", "yyyy", "yyy")
         relaxed.append(part[0] if numeric and not touches else part)
     return "".join(relaxed)
+
+
+def _lenient_layout(pattern: str) -> tuple[str, dict[str, int], dict[str, int]]:
+    """A regex with one group per field, and the group number and letter count of each field letter.
+
+    A field that touches the next one takes no more digits than it has letters.
+    """
+    parts = [m[0] for m in _PATTERN_PART.finditer(pattern)]
+    regex, groups, counts = "^", {}, {}
+    for part, after in zip(parts, parts[1:] + [""]):
+        letter = part[0]
+        if not letter.isalpha():
+            text = part if letter != "'" else part[1:-1] or "'"
+            regex += "".join(f"\\x{{{ord(c):x}}}" for c in text)
+            continue
+        if letter not in "yMdHhkKmsSa" or letter in groups or (letter == "M" and len(part) > 2):
+            raise ValueError(f"lenient dates cannot read {part!r} in pattern {pattern!r}")
+        most = len(part) if after[:1].isalpha() and after[:1] != "a" else 5 if letter in "yMd" else 9
+        regex += "[ \\t]*+" + ("([AaPp][Mm])" if letter == "a" else f"([0-9]{{1,{most}}}+)")
+        groups[letter], counts[letter] = len(groups) + 1, len(part)
+    return regex, groups, counts
+
+
+def _roll_over(cell: Column, pattern: str) -> Column:
+    """The wall-clock time of a cell as a timestamp in UTC: fields are added up, not checked."""
+    regex, groups, counts = _lenient_layout(pattern)
+
+    def field(letter: str) -> Column:
+        return F.regexp_extract(cell, regex, groups[letter])
+
+    def number(letter: str, default: int = 0) -> Column:
+        return field(letter).cast("bigint") if letter in groups else F.lit(default).cast("bigint")
+
+    year = number("y", 1970)
+    if counts.get("y", 4) <= 2:  # two digits stand for the years from 80 before to 20 after today
+        since = F.year(F.current_date()) - 80
+        near = since - since % 100 + year + F.when(year < since % 100, 100).otherwise(0)
+        year = F.when(F.length(field("y")) == 2, near).otherwise(year)
+    months = F.add_months(F.make_date(year.cast("int"), F.lit(1), F.lit(1)), (number("M", 1) - 1).cast("int"))
+    days = F.unix_date(months).cast("bigint") + number("d", 1) - 1
+    twelve, twenty_four = number("h"), number("k")
+    hours = number("H") + number("K") + F.when(twelve == 12, 0).otherwise(twelve)
+    hours += F.when(twenty_four == 24, 0).otherwise(twenty_four)
+    if "a" in groups:
+        hours += F.when(F.upper(field("a")) == "PM", 12).otherwise(0)
+    seconds = ((days * 24 + hours) * 60 + number("m")) * 60 + number("s")
+    return F.when(cell.rlike(regex), F.timestamp_micros((seconds * 1000 + number("S")) * 1000))

@@ -133,6 +133,19 @@ def load_timestamp_zone(spark, sf_dir):
     return rows.select("event_id", _wall_clock("ts"))
 
 
+@query
+def load_timestamp_lenient(spark, sf_dir):
+    """Dates written with the month, day, hour and minute beyond their ranges, and text behind them."""
+    at = F.col("ts")
+    fields = [F.year(at) - 1, F.month(at) + 12, F.dayofmonth(at) - 1, F.hour(at) + 23, F.minute(at) + 59, F.second(at) + 60]
+    written = F.concat(*[part for field in fields for part in (field.cast("string"), F.lit(" "))], F.lit("local time"))
+    folder = delimited(spark, sf_dir, "event-lenient-times", "events", ["event_id", written])
+    spec = parse_spec("event_id|long|$primary_key,ts|long|timestamp")
+    rule = DateRule("yyyy MM dd HH mm ss", "America/New_York", lenient=True)
+    rows = accepted(tag_lines(read_lines(spark, folder), spec, dates=rule))
+    return rows.select("event_id", _wall_clock("ts"))
+
+
 # Attribute records
 
 

@@ -45,6 +45,7 @@ SELECT c_custkey, 'a|''' || c_name AS c_name, c_nationkey, c_acctbal FROM custom
 SELECT l_orderkey, l_linenumber, CAST(l_quantity AS FLOAT) AS l_quantity, l_extendedprice
 FROM lineitem WHERE l_suppkey % 9 NOT IN (0, 1)""",
     "load_timestamp_zone": "SELECT event_id, date_trunc('second', ts) + INTERVAL 5 HOUR AS ts FROM events",
+    "load_timestamp_lenient": "SELECT event_id, date_trunc('second', ts) + INTERVAL 5 HOUR AS ts FROM events",
     "load_attributes": _LOADED_ORDERS,
     "load_attributes_lenient": """
 SELECT o_orderkey, CASE WHEN o_orderkey % 10 = 3 THEN 0 ELSE o_custkey END AS o_custkey,

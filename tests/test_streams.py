@@ -3,7 +3,7 @@ import uuid
 import pytest
 from pyspark.sql import functions as F
 
-from rowgate import DateRule, Dialect, parse_spec
+from rowgate import Dialect, parse_spec
 from rowgate.operators.export import write_delimited, write_json
 from rowgate.operators.ingest import load_files
 from rowgate.operators.load import accepted, tag_lines
@@ -137,32 +137,3 @@ def test_json_has_null_fields_and_epoch_milliseconds(spark, tmp_path):
     write_json(df, str(tmp_path / "out"))
     found = [f.read_text() for f in (tmp_path / "out").glob("part-*.json")]
     assert found == ['{"k":1,"v":null,"t":1577836800000}\n']
-
-
-def test_dates_by_pattern(spark, put):
-    def read(pattern, zone, *texts, has_header=False):
-        folder = put("".join(f"{t}\n" for t in texts), folder=uuid.uuid4().hex)
-        spec = parse_spec("t|long|timestamp")
-        tagged = tag_lines(read_lines(spark, folder, has_header), spec, Dialect("|"), DateRule(pattern, zone))
-        rows = tagged.orderBy("_load.row").selectExpr("coalesce(_load.reason, cast(t as string)) t").collect()
-        return [r.t for r in rows]
-
-    assert read("dd-MM-yyyy hh:mm:ss", "EST", "1-2-2020 13:00:00") == ["2020-02-01 18:00:00"]
-    assert read("dd-MM-yyyy hh:mm:ss a", "UTC", "01-02-2020 01:00:00 PM") == ["2020-02-01 13:00:00"]
-    assert read("yyyyMMdd'T'HHmmss", "UTC", "20200102T030405", "2020123") == [
-        "2020-01-02 03:04:05",
-        "1970-01-01 00:33:40.123",
-    ]
-    assert read("yyyy-MM-dd'T'HH:mm:ss.SSSZ", "EST", "2020-01-02T03:04:05.678+0100") == ["2020-01-02 02:04:05.678"]
-    assert read("d MMM yyyy", "America/New_York", "4 Jul 2020", "4 Foo 2020") == ["2020-07-04 04:00:00", "bad_timestamp"]
-    assert read(None, None, "2020-01-01", "5") == ["bad_timestamp", "1970-01-01 00:00:00.005"]
-    assert read("yyyy/MM/dd", None, "2020/1/1") == ["2020-01-01 00:00:00"]
-
-
-def test_zone_needs_a_utc_session(spark, put):
-    spark.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
-    try:
-        with pytest.raises(ValueError):
-            tag_lines(read_lines(spark, put("t\n1\n")), parse_spec("t|long|timestamp"), dates=DateRule("yyyy", "EST"))
-    finally:
-        spark.conf.set("spark.sql.session.timeZone", "UTC")
