@@ -20,7 +20,7 @@ from rowgate.functions.cells import Dialect
 from rowgate.functions.dates import DateRule
 from rowgate.operators.joins import listed_join
 from rowgate.session import new_folder, require_utc
-from rowgate.spec import LOAD_COLUMN, STATUS_COLUMN, TableSpec, ref
+from rowgate.spec import LOAD_COLUMN, TableSpec, ref
 
 MALFORMED, ARITY = "malformed", "arity"
 ACCEPTED, REJECTED = "accepted", "rejected"
@@ -140,14 +140,19 @@ def rejects(tagged: DataFrame) -> DataFrame:
 def load_counts(tagged: DataFrame) -> DataFrame:
     """``(file, accepted, rejected)``, pre-aggregated in every task."""
     return tagged.groupBy(F.col(f"{LOAD_COLUMN}.file").alias("file")).agg(
-        F.count_if(is_accepted()).alias("accepted"),
-        F.count_if(~is_accepted()).alias("rejected"),
+        F.count_if(is_accepted()).alias(ACCEPTED),
+        F.count_if(~is_accepted()).alias(REJECTED),
     )
 
 
 @dataclass(frozen=True)
 class StagedLoad:
-    """A tagged load written once, so that accepted rows and rejects cost one parse together."""
+    """A tagged load written once, so that accepted rows and rejects cost one parse together.
+
+    Both sides are column reads of the same files: accepted rows skip the load facts, rejects skip
+    the typed columns, and pages without a reason are passed over by the pushed-down filter. Separate
+    folders would need a sort of every row by its status.
+    """
 
     spark: SparkSession
     path: str
@@ -156,18 +161,17 @@ class StagedLoad:
 
     @property
     def tagged(self) -> DataFrame:
-        schema = T.StructType(list(self.spec.schema))
-        schema = schema.add(LOAD_COLUMN, LOAD_TYPE).add(STATUS_COLUMN, T.StringType())
+        schema = T.StructType(list(self.spec.schema)).add(LOAD_COLUMN, LOAD_TYPE)
         return self.spark.read.schema(schema).parquet(self.path)
 
     @property
     def accepted(self) -> DataFrame:
         """Accepted rows with ``_load`` still there, for ordering."""
-        return self.tagged.where(F.col(STATUS_COLUMN) == ACCEPTED).drop(STATUS_COLUMN)
+        return self.tagged.where(is_accepted())
 
     @property
     def rejects(self) -> DataFrame:
-        return self.tagged.where(F.col(STATUS_COLUMN) == REJECTED).select(f"{LOAD_COLUMN}.*")
+        return rejects(self.tagged)
 
     @property
     def failed_files(self) -> DataFrame:
@@ -182,15 +186,10 @@ class StagedLoad:
 
 
 def stage(tagged: DataFrame, spec: TableSpec, path: str | None = None) -> StagedLoad:
-    """Write a tagged load, split by status."""
+    """Write a tagged load."""
     spark = tagged.sparkSession
     path = path or new_folder(spark, "load")
     totals = Observation()
-    (
-        tagged.observe(totals, F.count_if(is_accepted()).alias("accepted"), F.count_if(~is_accepted()).alias("rejected"))
-        .withColumn(STATUS_COLUMN, F.when(is_accepted(), ACCEPTED).otherwise(REJECTED))
-        .write.mode("overwrite")
-        .partitionBy(STATUS_COLUMN)
-        .parquet(path)
-    )
+    counted = tagged.observe(totals, F.count_if(is_accepted()).alias(ACCEPTED), F.count_if(~is_accepted()).alias(REJECTED))
+    counted.write.mode("overwrite").parquet(path)
     return StagedLoad(spark, path, spec, dict(totals.get))

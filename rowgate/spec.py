@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 LOAD_COLUMN = "_load"  # per-row load facts, see operators.load
-STATUS_COLUMN = "_status"  # accepted or rejected, the partition of a staged load
 
 # Type words of the specification language.
 _TYPE_WORDS = {
@@ -103,7 +102,7 @@ def parse_spec(text: str) -> TableSpec:
         name, *rest = entry.split("|")
         if not name:
             raise ValueError(f"empty column name in specification {text!r}")
-        if name.lower() in [LOAD_COLUMN, STATUS_COLUMN] + [f.name.lower() for f in fields]:
+        if name.lower() in [LOAD_COLUMN] + [f.name.lower() for f in fields]:
             raise ValueError(f"column name {name!r} is reserved or repeated")
         tags: list[str] = []
         metadata: dict = {}
