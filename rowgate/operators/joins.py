@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from rowgate.session import new_folder
 
 BROADCAST_ROWS = 100_000
+BROADCAST_BYTES = 32 * 1024 * 1024
 SALTS = 64
 
 
@@ -17,14 +18,16 @@ def listed_join(
     """Rows of ``left`` whose keys are (``left_semi``) or are not (``left_anti``) listed, safe when
     one key holds much of ``left``.
 
-    The (distinct) list is written once and counted. Up to ``broadcast_rows`` keys are broadcast, so
-    ``left`` does not move. A longer list is repeated once per salt, and ``left`` is spread over the
+    The (distinct) list is written once and measured. Up to ``broadcast_rows`` keys, and so many
+    bytes of text, are broadcast and ``left`` does not move. A longer list is repeated once per salt, and ``left`` is spread over the
     salts by ``salt``, a deterministic whole-number column.
     """
     path = new_folder(left.sparkSession, "keys")
     listed.write.parquet(path)
     listed = left.sparkSession.read.schema(listed.schema).parquet(path)
-    if listed.count() <= broadcast_rows:
+    text = F.concat_ws("", *[F.col(f"`{k}`").cast("string") for k in keys])
+    size = listed.agg(F.count("*").alias("n"), F.coalesce(F.sum(F.octet_length(text)), F.lit(0)).alias("bytes")).first()
+    if size.n <= broadcast_rows and size.bytes <= BROADCAST_BYTES:
         return left.join(F.broadcast(listed), keys, how).select(*left.columns)
     salted_list = listed.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     salted_left = left.withColumn("_salt", F.pmod(F.xxhash64(salt), F.lit(SALTS)).cast("int"))

@@ -9,6 +9,7 @@ finds complete and skips, so a replay neither repeats nor loses rows. One writer
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -21,6 +22,7 @@ from rowgate.spec import TableSpec, parse_spec
 
 FOLDER, REPLICATED = "rowgate.folder", "rowgate.replicated"
 BROADCAST_BYTES = 32 * 1024 * 1024
+BROADCAST_ROWS = 1_000_000
 
 
 @dataclass(frozen=True)
@@ -102,7 +104,7 @@ class Table:
     def _refresh(self) -> None:
         self.spark.catalog.refreshTable(self.name)
         if self.replicated:
-            self.spark.sql(f"ANALYZE TABLE {self.name} COMPUTE STATISTICS NOSCAN")
+            self.spark.sql(f"ANALYZE TABLE {self.name} COMPUTE STATISTICS")
 
 
 def declare_table(
@@ -141,12 +143,12 @@ def open_table(spark: SparkSession, name: str) -> Table:
 
 
 def read_table(spark: SparkSession, name: str, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
-    """The rows of a table; a replicated one is marked for broadcast while its files, as measured at
-    its last load, stay within ``broadcast_bytes``."""
+    """The rows of a table; a replicated one is marked for broadcast while its files and rows, as
+    measured at its last load, stay within ``broadcast_bytes`` and a million rows."""
     table = open_table(spark, name)
-    statistics = _describe(spark, name).get("Statistics", "").split(" ")
-    measured = statistics[0].isdigit() and int(statistics[0]) <= broadcast_bytes
-    return F.broadcast(table.read()) if table.replicated and measured else table.read()
+    measured = re.fullmatch(r"(\d+) bytes, (\d+) rows", _describe(spark, name).get("Statistics", ""))
+    small = measured and int(measured[1]) <= broadcast_bytes and int(measured[2]) <= BROADCAST_ROWS
+    return F.broadcast(table.read()) if table.replicated and small else table.read()
 
 
 def _write_once(rows: DataFrame, path: str) -> DataFrame:
