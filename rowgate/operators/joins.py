@@ -18,9 +18,10 @@ def listed_join(
     """Rows of ``left`` whose keys are (``left_semi``) or are not (``left_anti``) listed, safe when
     one key holds much of ``left``.
 
-    The (distinct) list is written once and measured. Up to ``broadcast_rows`` keys, and so many
-    bytes of text, are broadcast and ``left`` does not move. A longer list is repeated once per salt, and ``left`` is spread over the
-    salts by ``salt``, a deterministic whole-number column.
+    The (distinct) list is written once and measured. Up to ``broadcast_rows`` keys (and
+    ``BROADCAST_BYTES`` of text) are broadcast, so ``left`` does not move. A longer list is repeated
+    once per salt, and ``left`` is spread over the salts by ``salt``, a deterministic whole-number
+    column.
     """
     path = new_folder(left.sparkSession, "keys")
     listed.write.parquet(path)

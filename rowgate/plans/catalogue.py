@@ -253,8 +253,10 @@ def upsert_composite(spark, sf_dir):
 @query
 def upsert_dup_in_load(spark, sf_dir):
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice")
-    twice = F.explode(F.array(F.struct(F.lit(1).alias("seq"), F.col("o_totalprice")), F.struct(F.lit(2).alias("seq"), (F.col("o_totalprice") * 2).alias("o_totalprice"))))
-    incoming = orders.select("o_orderkey", twice.alias("t")).select("o_orderkey", "t.*")
+    occurrences = F.array(
+        *[F.struct(F.lit(n).alias("seq"), (F.col("o_totalprice") * n).alias("o_totalprice")) for n in (1, 2)]
+    )
+    incoming = orders.select("o_orderkey", F.explode(occurrences).alias("t")).select("o_orderkey", "t.*")
     empty = orders.where(F.lit(False))
     keys, columns = ["o_orderkey"], ["o_orderkey", "o_totalprice"]
     last = one_per_key(incoming, keys, F.struct("seq"), columns, "last")
@@ -475,7 +477,8 @@ def export_rejects(spark, sf_dir):
     folder = new_folder(spark, "rejects")
     write_rejects(spark, staged.rejects, folder)
     lines = spark.read.text(folder).where(F.col("value") != fixtures.EVENT_HEADER)
-    return lines.select(F.regexp_extract("value", "^[0-9]+", 0).cast("bigint").alias("event_id"), (F.size(F.split("value", ",", -1)) - 1).cast("bigint").alias("delimiters"))
+    delimiters = (F.size(F.split("line", ",", -1)) - 1).cast("bigint").alias("delimiters")
+    return lines.withColumnRenamed("value", "line").select(_event_key(), delimiters)
 
 
 # Table functions

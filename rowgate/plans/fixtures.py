@@ -92,13 +92,20 @@ def event_files(spark: SparkSession, sf_dir: str, broken: bool = True) -> str:
 
 
 def delimited(
-    spark: SparkSession, sf_dir: str, name: str, source: str, columns: list[Column | str], delimiter: str = ",", header: bool = True
+    spark: SparkSession,
+    sf_dir: str,
+    name: str,
+    source: str,
+    columns: list[Column | str],
+    delimiter: str = ",",
+    header: bool = True,
 ) -> str:
     """A whole table as delimited files, one per input partition."""
 
     def write(folder: str) -> None:
         line = F.concat_ws(delimiter, *cells(*columns)).alias("line")
-        write_lines(table(spark, sf_dir, source).select(line), folder, delimiter.join(["h"] * len(columns)) if header else None)
+        heading = delimiter.join(["h"] * len(columns)) if header else None
+        write_lines(table(spark, sf_dir, source).select(line), folder, heading)
 
     return rendered(spark, sf_dir, name, write)
 

@@ -31,9 +31,11 @@ def start_file_load(
 ) -> StreamingQuery:
     """Load the files of a folder as they arrive, at most ``files_per_trigger`` at a time (0: all)."""
     lines = read_lines(spark, path, has_header, files_per_trigger)
-    return _start(
-        lines, lambda batch: tag_lines(batch, table.spec, dialect, dates), table, checkpoint, skip_errors, update, stream, trigger
-    )
+
+    def tag(batch: DataFrame) -> DataFrame:
+        return tag_lines(batch, table.spec, dialect, dates)
+
+    return _start(lines, tag, table, checkpoint, skip_errors, update, stream, trigger)
 
 
 def start_record_load(
@@ -48,9 +50,11 @@ def start_record_load(
 ) -> StreamingQuery:
     """Load a stream with a ``map<string,string>`` column; cap its batches at the source
     (``maxOffsetsPerTrigger``, ``maxFilesPerTrigger``)."""
-    return _start(
-        records, lambda batch: tag_attributes(batch, attributes, table.spec, dates), table, checkpoint, True, update, stream, trigger
-    )
+
+    def tag(batch: DataFrame) -> DataFrame:
+        return tag_attributes(batch, attributes, table.spec, dates)
+
+    return _start(records, tag, table, checkpoint, True, update, stream, trigger)
 
 
 def _start(
