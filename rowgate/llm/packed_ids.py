@@ -43,20 +43,34 @@ def width(vocabulary: int) -> int:
     return max(1, int(vocabulary - 1).bit_length())
 
 
+def _shifted(values: np.ndarray, by: int) -> np.ndarray:
+    return values << np.uint32(by) if by >= 0 else values >> np.uint32(-by)
+
+
 def pack(ids: np.ndarray, bits: int) -> bytes:
-    """``ids`` one after the other, ``bits`` bits each."""
+    """``ids`` one after the other, ``bits`` bits each. Eight ids fill ``bits`` bytes, so each byte
+    of all such groups is put together at once from the ids that reach into it."""
     if len(ids) and int(ids.max()) >> bits:
         raise ValueError(f"an id does not fit {bits} bits")
-    columns = ids.astype("<u4").view(np.uint8).reshape(-1, 4)
-    return np.packbits(np.unpackbits(columns, axis=1, bitorder="little")[:, :bits], bitorder="little").tobytes()
+    groups = np.zeros((-(-len(ids) // 8), 8), np.uint32)
+    groups.ravel()[: len(ids)] = ids
+    found = np.zeros((len(groups), bits), np.uint8)
+    for byte in range(bits):
+        for i in range(8 * byte // bits, min(8, -(-8 * (byte + 1) // bits))):
+            found[:, byte] |= _shifted(groups[:, i], i * bits - 8 * byte).astype(np.uint8)
+    return found.tobytes()[: -(-len(ids) * bits // 8)]
 
 
 def unpack(data: bytes, count: int, bits: int) -> np.ndarray:
     """The first ``count`` ids of a block."""
-    flat = np.unpackbits(np.frombuffer(data, np.uint8), count=count * bits, bitorder="little")
-    wide = np.zeros((count, 32), np.uint8)
-    wide[:, :bits] = flat.reshape(count, bits)
-    return np.packbits(wide, axis=1, bitorder="little").view("<u4").ravel()
+    padded = np.zeros(-(-count // 8) * bits, np.uint8)
+    padded[: len(data)] = np.frombuffer(data, np.uint8)
+    bytes_ = padded.reshape(-1, bits).astype(np.uint32)
+    found = np.zeros((len(bytes_), 8), np.uint32)
+    for i in range(8):
+        for byte in range(i * bits // 8, -(-(i + 1) * bits // 8)):
+            found[:, i] |= _shifted(bytes_[:, byte], 8 * byte - i * bits)
+    return (found.ravel() & np.uint32((1 << bits) - 1))[:count]
 
 
 class ShardWriter:

@@ -18,16 +18,17 @@ import numpy as np
 _START = "\0"
 _PIECES = re.compile(r"[ \n]*+[^ \n]++|[ \n]++")
 _OTHER_SPACE = re.compile("[\0\t\x0b-\r\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
-# A point or comma behind one of these letters and digits always begins a token of its own.
-_BEFORE_POINT = frozenset("0123456789abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZäöüßéèêàçñíóáúÄÖÜÉ")
-_KEPT = 800_000
+# Marks at the end of a piece, behind one of these letters and digits, always begin a token of their own.
+_MARKS = ".,!?;:*#%&$|)"
+_BEFORE_MARKS = frozenset("0123456789abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZäöüßéèêàçñíóáúÄÖÜÉ")
+_STEMS, _KEPT = 600_000, 400_000
 _RUN = 500
-_TEXTS, _CHARS = 500, 2_000_000
+_TEXTS, _CHARS = 1_000, 4_000_000
 
 
 class WordIds:
-    """Ids of texts as little-endian 32-bit integers in bytes. The ids of up to ``_KEPT`` pieces
-    (and those of the texts at hand) are kept; what is kept changes the speed only."""
+    """Ids of texts as little-endian 32-bit integers in bytes. The ids of up to ``_KEPT`` pieces and
+    ``_STEMS`` of their stems (and those of the texts at hand) are kept, for speed only."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -35,57 +36,68 @@ class WordIds:
         self._tokenizer = Tokenizer.from_file(path)
         self._tokenizer.encode_special_tokens = True
         self._known: dict[str, bytes] = {}
+        self._stems: dict[str, bytes] = {}
 
     def _encode(self, texts: list[str]) -> list[bytes]:
         found = self._tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(e.ids, dtype="<u4").tobytes() for e in found]
 
-    def _run(self, words: list[str]) -> dict[str, bytes]:
-        """Words of letters only, encoded in one text: the library counts them as it splits them."""
-        found = self._tokenizer.encode(" " + " ".join(words), add_special_tokens=False)
-        word, ids = np.array(found.word_ids, dtype=np.int64), np.array(found.ids, dtype="<u4").tobytes()
-        starts = np.flatnonzero(np.diff(word, prepend=-1))
-        if len(starts) != len(words):
+    def _run(self, pieces: list[str], lead: str) -> dict[str, bytes]:
+        """Pieces that are a word of letters behind ``lead``, encoded as one text: the library
+        numbers what it splits it into, as many parts for each such piece."""
+        text = lead + lead.join(p.lstrip("\n") for p in pieces)
+        found = self._tokenizer.encode(text, add_special_tokens=False)
+        part, ids = np.array(found.word_ids, dtype=np.int64), np.array(found.ids, dtype="<u4").tobytes()
+        starts = np.flatnonzero(np.diff(part, prepend=-1))
+        each, odd = divmod(len(starts), len(pieces))
+        if odd or not 1 <= each <= 2:
             return {}
-        bounds = [*(4 * starts).tolist(), len(ids)]
-        return {w: ids[a:b] for w, a, b in zip(words, bounds, bounds[1:])}
-
-    def _ids(self, needed: set[str]) -> dict[str, bytes]:
-        """The ids of each piece. A word with points or commas is put together and not kept."""
-        found, ends, known = {}, [], self._known
-        missing = set()
-        for piece in needed:
-            if ids := known.get(piece):
-                found[piece] = ids
-                continue
-            stem = piece.rstrip(".,")
-            if stem != piece and stem[-1:] in _BEFORE_POINT:
+        bounds = [*(4 * starts[::each]).tolist(), len(ids)]
+        return {p: ids[a:b] for p, a, b in zip(pieces, bounds, bounds[1:])}
+
+    def _learn(self, new: set[str]) -> None:
+        """Add pieces. A word with marks at its end is put together from its stem and them."""
+        known, stems, ends, missing = self._known, self._stems, [], set()
+        for piece in new:
+            stem = piece.rstrip(_MARKS)
+            if stem != piece and stem[-1:] in _BEFORE_MARKS:
                 end = _START + piece[len(stem) :]
                 ends.append((piece, stem, end))
-                missing.update(part for part in (stem, end) if part not in known)
+                if stem not in stems:
+                    missing.add(stem)
+                if end not in stems:
+                    missing.add(end)
+            elif piece in stems:
+                known[piece] = stems[piece]
             else:
+                ends.append((piece, piece, ""))
                 missing.add(piece)
         words = [p for p in missing if p.isalpha()]
-        for at in range(0, len(words), _RUN):
-            known.update(self._run(words[at : at + _RUN]))
-        rest = [p for p in missing if p not in known]
+        first = [p for p in missing if p[:1] == "\n" and p[1:].isalpha()]
+        for lead, some in ((" ", words), ("\n", first)):
+            for at in range(0, len(some), _RUN):
+                stems.update(self._run(some[at : at + _RUN], lead))
+        rest = [p for p in missing if p not in stems]
         texts = [p[1:] if p[:1] == _START else p if p[:1] in " \n" and p else " " + p for p in rest]
-        known.update(zip(rest, self._encode(texts)))
-        found.update((piece, known[piece]) for piece in missing)
-        found.update((piece, known[stem] + known[end]) for piece, stem, end in ends)
-        return found
+        stems.update(zip(rest, self._encode(texts)))
+        stems[""] = b""
+        ids = stems.__getitem__
+        known.update((piece, ids(stem) + ids(end) if end else ids(stem)) for piece, stem, end in ends)
 
     def encode(self, texts: Iterable[str]) -> Iterator[bytes]:
         """The ids of each text, some texts at a time."""
-        texts = iter(texts)
+        texts, known = iter(texts), self._known
         while some := _group(texts):
-            if len(self._known) > _KEPT:
-                self._known.clear()
+            if len(self._stems) > _STEMS:
+                self._stems.clear()
+            if len(known) > _KEPT:
+                known.clear()
             split = [_pieces(text) for text in some]
             needed = set()
             for pieces in split:
                 needed.update(pieces or ())
-            ids = self._ids(needed).__getitem__
+            self._learn(needed.difference(known))
+            ids = known.__getitem__
             for text, pieces in zip(some, split):
                 yield self._encode([text])[0] if pieces is None else b"".join(map(ids, pieces))
 
