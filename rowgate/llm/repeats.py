@@ -190,8 +190,9 @@ def repeated_runs(texts: DataFrame) -> DataFrame:
                 everything = np.concatenate([hashes, *told, *told])
                 _, inverse, counts = np.unique(everything, return_inverse=True, return_counts=True)
                 again = counts[inverse[: len(hashes)]] > 1
-                owners, packed = _by_key(owner[again], runs[again])
-                yield _table({"dk": pa.array(owners, pa.int64()), "runs": pa.array(packed, pa.binary())})
+                raw = runs[again].tobytes()
+                packed = [raw[at : at + RUN.itemsize] for at in range(0, len(raw), RUN.itemsize)]
+                yield _table({"dk": pa.array(owner[again], pa.int64()), "runs": pa.array(packed, pa.binary())})
             told.clear(), keys.clear(), asked.clear()
 
         for batch in batches:
