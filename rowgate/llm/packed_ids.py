@@ -20,7 +20,7 @@ from __future__ import annotations
 import struct
 import uuid
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -29,13 +29,12 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from rowgate.llm.common import id_and_text, stored
+from rowgate.llm.common import id_and_text
 from rowgate.llm.tokens import word_ids
 from rowgate.session import new_folder
 
 MAGIC, BLOCK = b"IDSPACK1", 65_536
 MANIFEST = "path string, shard int, n_ids long, n_docs long"
-IDS = "doc_id long, local_start long, n_tokens long, ids binary"
 
 
 def width(vocabulary: int) -> int:
@@ -187,9 +186,8 @@ def write_ids(docs: DataFrame, tokenizer: str, end_id: int, vocabulary: int, fol
     return docs.sparkSession.read.schema(MANIFEST).parquet(f"{folder}/manifest")
 
 
-def read_ids(manifest: DataFrame) -> DataFrame:
-    """``doc_id``, ``start`` (ids of all documents before it), ``n_tokens`` and ``ids`` (unsigned
-    32-bit, little-endian) of every document, read back from the shards of a manifest."""
+def _read_back(manifest: DataFrame, name: str, kind: str, make: Callable[[bytes], object]) -> DataFrame:
+    arrow = {"binary": pa.binary(), "long": pa.int64()}[kind]
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -197,33 +195,32 @@ def read_ids(manifest: DataFrame) -> DataFrame:
                 system, inside = _file(path)
                 with system.open_input_file(inside) as source:
                     shard = ShardReader(source)
-                    for at in range(0, len(shard.docs), 1000):
-                        some = range(at, min(at + 1000, len(shard.docs)))
-                        ids = [shard.document(i) for i in some]
+                    for at in range(0, len(shard.docs), 500):
+                        some = range(at, min(at + 500, len(shard.docs)))
                         yield pa.RecordBatch.from_arrays(
                             [
                                 pa.array([None if shard.nulls[i] else int(shard.docs[i]) for i in some], pa.int64()),
-                                pa.array(shard.starts[at : at + len(ids)] + base, pa.int64()),
-                                pa.array([len(x) for x in ids], pa.int64()),
-                                pa.array([x.astype("<u4").tobytes() for x in ids], pa.binary()),
+                                pa.array(shard.starts[some.start : some.stop] + base, pa.int64()),
+                                pa.array(np.diff(shard.starts[some.start : some.stop + 1]), pa.int64()),
+                                pa.array([make(shard.document(i).astype("<u4").tobytes()) for i in some], arrow),
                             ],
-                            names=["doc_id", "start", "n_tokens", "ids"],
+                            names=["doc_id", "start", "n_tokens", name],
                         )
 
     before = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)  # a row per shard
     placed = manifest.select("path", F.coalesce(F.sum("n_ids").over(before), F.lit(0)).alias("base"))
     files = max(1, manifest.count())
-    return placed.repartition(files).mapInArrow(read, IDS.replace("local_start", "start"))
+    return placed.repartition(files).mapInArrow(read, f"doc_id long, start long, n_tokens long, {name} {kind}")
+
+
+def read_ids(manifest: DataFrame) -> DataFrame:
+    """``doc_id``, ``start`` (ids of all documents before it), ``n_tokens`` and ``ids`` (unsigned
+    32-bit, little-endian) of every document, read back from the shards of a manifest."""
+    return _read_back(manifest, "ids", "binary", bytes)
 
 
 def packed_documents(spark: SparkSession, docs: DataFrame, tokenizer: str, end_id: int, vocabulary: int) -> DataFrame:
     """Write all documents to a new folder of shards and read them back, with the crc32 of the ids
     of each instead of the ids."""
-
-    def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            crc = pa.array([zlib.crc32(x.as_buffer()) for x in batch.column(3)], pa.int64())
-            yield pa.RecordBatch.from_arrays([*batch.columns[:3], crc], names=["doc_id", "start", "n_tokens", "ids_crc32"])
-
     manifest = write_ids(docs, tokenizer, end_id, vocabulary, new_folder(spark, "ids"))
-    return read_ids(manifest).mapInArrow(digest, "doc_id long, start long, n_tokens long, ids_crc32 long")
+    return _read_back(manifest, "ids_crc32", "long", zlib.crc32)

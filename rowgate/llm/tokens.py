@@ -21,9 +21,9 @@ _OTHER_SPACE = re.compile("[\0\t\x0b-\r\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u202
 # Marks at the end of a piece, behind one of these letters and digits, always begin a token of their own.
 _MARKS = ".,!?;:*#%&$|)"
 _BEFORE_MARKS = frozenset("0123456789abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZäöüßéèêàçñíóáúÄÖÜÉ")
-_STEMS, _KEPT = 600_000, 400_000
+_STEMS, _KEPT = 500_000, 250_000
 _RUN = 500
-_TEXTS, _CHARS = 1_000, 4_000_000
+_TEXTS, _CHARS = 1_000, 3_000_000
 
 
 class WordIds:
