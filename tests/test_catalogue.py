@@ -7,15 +7,16 @@ from pyspark.sql import functions as F
 import __spark_entry__ as driver
 from rowgate.operators import analytics
 from rowgate.operators.merge import insert_or_ignore, insert_or_update, one_per_key
+from rowgate.plans.oracles import ORACLES
 
 SF_DIR = "/root/testdata/sf0.001"
 
 
 @pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="no test data")
-@pytest.mark.parametrize("name", sorted(driver.queries()))
+@pytest.mark.parametrize("name", sorted(ORACLES))
 def test_query_gives_the_rows_of_its_sql(spark, name):
     df = driver.queries()[name](spark, SF_DIR)
-    problem = difference(connect(SF_DIR), driver.oracle_sql()[name], df.collect(), df.columns)
+    problem = difference(connect(SF_DIR), ORACLES[name], df.collect(), df.columns)
     assert problem in (None, "no rows") and (problem is None or name == "groupby_having")
 
 
