@@ -61,29 +61,40 @@ def _covers(rank: str, before: str, size: str) -> Column:
     return (F.col(rank) >= F.col(before)) & (F.col(rank) < F.col(before) + F.col(size))
 
 
-def filter_by_list(
-    rows: DataFrame, column: str, values: list | DataFrame, not_in_list: bool = False, salt: Column | None = None
-) -> DataFrame:
+def filter_by_list(rows: DataFrame, column: str, values: list | DataFrame, not_in_list: bool = False) -> DataFrame:
     """Rows whose value is listed, or (``not_in_list``) not listed. Null values are in neither.
 
     The list may be a one-column DataFrame; it is broadcast only when its counted size allows it.
-    ``salt`` is a deterministic whole-number column of ``rows`` that spreads frequent values.
     """
     if isinstance(values, DataFrame):
         present = rows.where(ref(column).isNotNull())
         listed = values.toDF(column).where(ref(column).isNotNull()).distinct()
-        spread = F.xxhash64(*map(ref, rows.columns)) if salt is None else salt
-        return listed_join(present, listed, [column], spread, "left_anti" if not_in_list else "left_semi")
+        return listed_join(present, listed, [column], "left_anti" if not_in_list else "left_semi")
     listed = ref(column).isin(values)
     return rows.where(~listed if not_in_list else listed)
 
 
-def page_records(rows: DataFrame, key: str, after, size: int) -> DataFrame:
-    """One page in key order, starting behind ``after``, with a flag for "there are more".
+def page_records(rows: DataFrame, key: str | list[str], after, size: int) -> DataFrame:
+    """One page in key order, starting behind ``after`` (None: the first page), with a flag for
+    "there are more".
 
-    Reads one row more than the page; tasks keep at most that many, and no offset is skipped over.
+    The key is a column or an ordered list of columns, ``after`` its value or values. It must be
+    unique: rows with the key of the last row of a page would not be on the next one. Reads one row
+    more than the page; tasks keep at most that many, and no offset is skipped over.
     """
-    window = rows.where(ref(key) > F.lit(after)).orderBy(ref(key)).limit(size + 1)
-    place = F.row_number().over(Window.orderBy(ref(key)))
+    keys = [key] if isinstance(key, str) else list(key)
+    if after is not None:
+        last = [after] if isinstance(key, str) else list(after)
+        behind, same = F.lit(False), F.lit(True)
+        for name, value in zip(keys, last, strict=True):
+            behind = behind | (same & (ref(name) > F.lit(value)))
+            same = same & (ref(name) == F.lit(value))
+        rows = rows.where(behind)
+    place_name = "_place"
+    while place_name in rows.columns:
+        place_name += "_"
+    window = rows.orderBy(*map(ref, keys)).limit(size + 1)
+    place = F.row_number().over(Window.orderBy(*map(ref, keys)))
     more = F.count("*").over(Window.partitionBy()) > size
-    return window.select("*", place.alias("_place"), more.alias("has_more")).where(F.col("_place") <= size).drop("_place")
+    numbered = window.select("*", place.alias(place_name), more.alias("has_more"))
+    return numbered.where(F.col(place_name) <= size).drop(place_name)

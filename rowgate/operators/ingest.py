@@ -61,7 +61,7 @@ def load_tagged(
     load_id = load_id or uuid.uuid4().hex
     path = f"{table.work_folder(load_id)}/staged" if table.folder else new_folder(spark, "load")
     if is_complete(spark, path):
-        staged = StagedLoad(spark, path, table.spec)
+        staged = StagedLoad(spark, path, table.spec).recounted()
     else:
         staged = stage(tagged, table.spec, path)
     if not table.holds_load(load_id):

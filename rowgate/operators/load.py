@@ -173,6 +173,11 @@ class StagedLoad:
     def rejects(self) -> DataFrame:
         return rejects(self.tagged)
 
+    def recounted(self) -> StagedLoad:
+        """The same load with its counts taken again from the written rows."""
+        totals = self.tagged.agg(F.count_if(is_accepted()).alias(ACCEPTED), F.count_if(~is_accepted()).alias(REJECTED)).first()
+        return StagedLoad(self.spark, self.path, self.spec, totals.asDict())
+
     @property
     def failed_files(self) -> DataFrame:
         """The files with at least one reject."""
@@ -180,9 +185,11 @@ class StagedLoad:
 
     def accepted_whole_files(self) -> DataFrame:
         """Accepted rows of the files that have no reject: one bad row fails its whole file."""
-        rows = self.accepted.withColumn("_file", F.col(f"{LOAD_COLUMN}.file"))
-        salt = F.col(f"{LOAD_COLUMN}.row")
-        return listed_join(rows, self.failed_files.toDF("_file"), ["_file"], salt, "left_anti").drop("_file")
+        rows, name = self.accepted, "_file"
+        while name in rows.columns:
+            name += "_"
+        rows = rows.withColumn(name, F.col(f"{LOAD_COLUMN}.file"))
+        return listed_join(rows, self.failed_files.toDF(name), [name], "left_anti").drop(name)
 
 
 def stage(tagged: DataFrame, spec: TableSpec, path: str | None = None) -> StagedLoad:

@@ -56,6 +56,8 @@ class Table:
         """Insert ``rows``. With a key, a row whose key is stored replaces it (``update``) or is
         dropped; of several rows with one key the last (``update``) or the first one counts."""
         if self.folder is None:
+            if update:
+                raise ValueError(f"{self.name} was not declared here: rows can be appended to it, not updated")
             conform(rows, self.spec.schema).write.insertInto(self.name)
         elif not self.holds_load(load_id):
             if not self.spec.keys:

@@ -383,6 +383,35 @@ def stream_load_attributes(spark, sf_dir):
     return _order_rows(loaded.read())
 
 
+@query
+def stream_two_sources(spark, sf_dir):
+    """Two folders, loaded as two streams with checkpoints of their own into one table."""
+    loaded = _new_table(spark, "orders", _ORDER_SPEC)
+    records = spark.read.schema("attrs map<string,string>").parquet(_order_records(spark, sf_dir))
+    even = F.pmod(F.xxhash64(F.map_entries("attrs")), F.lit(2)) == 0
+    for half in (even, ~even):
+        folder = new_folder(spark, "half")
+        records.where(half).write.parquet(folder)
+        source = spark.readStream.schema("attrs map<string,string>").parquet(folder)
+        start_record_load(source, "attrs", loaded, new_folder(spark, "checkpoint"), _ORDER_DATES).awaitTermination()
+    return _order_rows(loaded.read())
+
+
+@query
+def page_records_all(spark, sf_dir):
+    """All conversations, page after page by a key of two columns."""
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role")
+    size, after, pages = max(50, rows.count() // 4 + 1), None, None
+    while True:
+        page = analytics.page_records(rows, ["conv_id", "turn"], after, size)
+        last = page.agg(F.max(F.struct("conv_id", "turn")).alias("last"), F.max("has_more").alias("more")).first()
+        page = page.drop("has_more")
+        pages = page if pages is None else pages.unionByName(page)
+        if not last.more:
+            return pages
+        after = tuple(last.last)
+
+
 def _table_with_new_rows(spark: SparkSession, sf_dir: str, start) -> str:
     """Store a third of the events, subscribe, insert the others, drain the feed into files."""
     feed = _new_table(spark, "feed", EVENT_SPEC)
@@ -512,14 +541,14 @@ def filter_not_in_list(spark, sf_dir):
 def filter_in_list_table(spark, sf_dir):
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
     listed = table(spark, sf_dir, "customer").where("c_acctbal < 0").select("c_custkey")
-    return analytics.filter_by_list(orders, "o_custkey", listed, salt=F.col("o_orderkey"))
+    return analytics.filter_by_list(orders, "o_custkey", listed)
 
 
 @query
 def filter_not_in_list_table(spark, sf_dir):
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
     listed = table(spark, sf_dir, "customer").where("c_acctbal < 0").select("c_custkey")
-    return analytics.filter_by_list(orders, "o_custkey", listed, not_in_list=True, salt=F.col("o_orderkey"))
+    return analytics.filter_by_list(orders, "o_custkey", listed, not_in_list=True)
 
 
 @query

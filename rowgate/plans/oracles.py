@@ -90,6 +90,8 @@ SELECT count(*) FILTER (WHERE event_id % 50 NOT IN {_BAD_EVENTS}) AS accepted,
   CAST(ceil(count(DISTINCT {_EVENT_FILE}) / 2.0) AS BIGINT) AS batches FROM events""",
     "stream_load_rows": _LOADED_EVENTS,
     "stream_load_attributes": _LOADED_ORDERS,
+    "stream_two_sources": _LOADED_ORDERS,
+    "page_records_all": "SELECT conv_id, turn, role FROM conversations",
     "change_feed_new_rows": "SELECT event_id, user_id, event_type, value FROM events WHERE event_id % 3 <> 0",
     "change_feed_json": """
 SELECT event_id, value, CAST(event_id % 3 AS INTEGER) AS batch FROM events WHERE event_id % 3 <> 0""",

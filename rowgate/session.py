@@ -12,6 +12,8 @@ _LOCAL_FOLDERS: dict[str, str] = {}
 # Session settings the operators rely on; all can be set at run time.
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
+    # A cast that fails must fail the job, not store a null.
+    "spark.sql.ansi.enabled": "true",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # HotSpot never compiles methods beyond 8000 bytes of bytecode. A load of a wide table would

@@ -67,10 +67,12 @@ def _start(
     stream: str,
     trigger: dict | None,
 ) -> StreamingQuery:
-    """The batch number is the load id, so a batch that Spark repeats is not loaded twice."""
+    """The load id is the query's own id, which its checkpoint keeps, and the batch number: a batch
+    that Spark repeats is not loaded twice, and streams with checkpoints of their own never share one."""
 
     def load(batch: DataFrame, batch_id: int) -> None:
-        load_tagged(tag(batch), table, skip_errors, update, load_id=f"{stream}-{batch_id}")
+        query = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+        load_tagged(tag(batch), table, skip_errors, update, load_id=f"{stream}-{query}-{batch_id}")
 
     writer = source.writeStream.foreachBatch(load).option("checkpointLocation", checkpoint)
     return writer.trigger(**(trigger or {"availableNow": True})).start()

@@ -55,6 +55,17 @@ def test_pages_follow_each_other(spark):
     assert seen == list(range(25))
 
 
+def test_pages_over_a_repeated_column_need_the_whole_key(spark):
+    df = spark.range(0, 12, 1, 3).select((F.col("id") % 3).alias("k"), F.col("id").alias("n"), F.lit(7).alias("_place"))
+    seen, after, more = [], None, True
+    while more:
+        page = analytics.page_records(df, ["k", "n"], after, 5).orderBy("k", "n").collect()
+        seen += [(r.k, r.n) for r in page]
+        after, more = seen[-1], page[0].has_more
+        assert page[0]._place == 7
+    assert seen == sorted((i % 3, i) for i in range(12))
+
+
 def test_writing_the_same_rows_twice_changes_nothing(spark):
     target = spark.range(50).select("id", F.lit("old").alias("v"))
     incoming = spark.range(25, 75).select("id", F.lit("new").alias("v"))

@@ -231,13 +231,25 @@ def test_counts_and_staging(spark, put):
     assert values(staged.accepted_whole_files().drop("_load")) == [(3, 3), (4, 4)]
 
 
-def test_long_key_list_is_salted_with_the_same_result(spark):
-    left = spark.range(1000).select("id", (F.col("id") % 3).alias("k"))
-    listed = spark.createDataFrame([(0,), (2,)], "k bigint")
-    for how, kept in [("left_anti", "k = 1"), ("left_semi", "k != 1")]:
+def test_long_key_list_is_joined_without_broadcast(spark):
+    left = spark.range(1000).select("id", (F.col("id") % 3).alias("a.b"), F.lit(99).alias("_salt"))
+    listed = spark.createDataFrame([(0,), (2,)], "`a.b` bigint")
+    for how, kept in [("left_anti", "`a.b` = 1"), ("left_semi", "`a.b` != 1")]:
         for bound in (0, 10):
-            found = listed_join(left, listed, ["k"], F.col("id"), how, broadcast_rows=bound)
+            found = listed_join(left, listed, ["a.b"], how, broadcast_rows=bound)
             assert values(found) == values(left.where(kept))
+    many = spark.range(200_001).select(F.col("id").alias("a.b"))
+    found = listed_join(left, many, ["a.b"], "left_anti")
+    assert found.count() == 0
+    plan = found._jdf.queryExecution().toString().split("== Physical Plan ==")[1]
+    assert "Broadcast" not in plan and "SortMergeJoin" in plan
+
+
+def test_whole_file_mode_with_odd_column_names(spark, put):
+    put("a.b,_file,_salt\n1,2,3\n", "a.csv")
+    spec = parse_spec("a.b|int,_file|int,_salt|int")
+    staged = stage(tag(spark, put("a.b,_file,_salt\n4,5,6\nx,5,6\n", "b.csv"), spec), spec)
+    assert values(staged.accepted_whole_files().drop("_load")) == [(1, 2, 3)]
 
 
 def test_empty_file(spark, put):

@@ -37,7 +37,7 @@ def test_stream_equals_batch_and_resumes(spark, put, table, tmp_path):
     put("k,v\n9,late\n", "9.csv")
     start_file_load(spark, folder, table, checkpoint, update=True).awaitTermination()
     assert [k for k, _ in rows(table)] == [0, 1, 2, 3, 4, 5, 9]
-    staged = spark.read.parquet(f"{table.folder}/work/load=files-0/staged")
+    staged = spark.read.parquet(f"{table.folder}/work/load=files-{query.id}-0/staged")
     assert staged.where("_load.reason = 'bad_number'").count() == 2
 
 
@@ -53,6 +53,13 @@ def test_repeated_batch_is_a_no_op(spark, put, table, tmp_path):
             mark.unlink()
 
 
+def test_streams_with_checkpoints_of_their_own_share_a_table(spark, put, table, tmp_path):
+    one, two = put("k,v\n1,a\n2,b\n", folder="one"), put("k,v\n7,c\n8,d\n", folder="two")
+    for folder in (one, two, one):
+        start_file_load(spark, folder, table, str(tmp_path / uuid.uuid4().hex)).awaitTermination()
+    assert rows(table) == [(1, "a"), (2, "b"), (7, "c"), (8, "d")]
+
+
 def test_record_stream(spark, table, tmp_path):
     maps = spark.createDataFrame([({"k": "1", "v": " a "},), ({"k": "x"},), ({"v": "b"},)], "attrs map<string,string>")
     maps.write.json(str(tmp_path / "records"))

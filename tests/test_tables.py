@@ -61,6 +61,8 @@ def test_table_made_elsewhere_is_appended_to(spark, put, name):
     table = declare_table(spark, name, KEYED)
     load_files(spark, put("a,b\n1,x\n,y\nz,z\n"), table)
     assert sorted(map(tuple, table.read().collect()), key=str) == [(1, "x"), (None, "y")]
+    with pytest.raises(ValueError, match="not updated"):
+        load_files(spark, put("a,b\n1,x\n"), table, update=True)
 
 
 def test_insert_ignore_and_replay(spark, put, name):
@@ -69,7 +71,7 @@ def test_insert_ignore_and_replay(spark, put, name):
     report = load_files(spark, first, table, load_id="one")
     assert report.staged.counts == {"accepted": 3, "rejected": 1}
     assert rows(table) == [(1, "a"), (2, "b")]
-    load_files(spark, first, table, load_id="one")
+    assert load_files(spark, first, table, load_id="one").staged.counts == report.staged.counts
     load_files(spark, first, table, load_id="again")
     assert rows(table) == [(1, "a"), (2, "b")]
     load_files(spark, put("k,v\n2,x\n3,y\n", folder="two"), table)
