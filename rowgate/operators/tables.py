@@ -93,10 +93,15 @@ class Table:
         chosen = one_per_key(rows, keys, order, columns, "last" if update else "first")
         incoming = _write_once(conform(chosen, self.spec.schema), f"{work}/incoming")
         if update:
-            fresh = _write_once(new_rows(self.read(), incoming, keys), f"{work}/fresh")
             version = f"{self.folder}/versions/{load_id}"
-            _write_once(insert_or_update(self.read(), incoming, keys), f"{version}/base")
-            self.spark.sql(f"ALTER TABLE {self.name} SET LOCATION {_text(version)}")
+            if not same_folder(self.location, version):
+                # What an interrupted attempt left was computed from a table that may have changed.
+                for left in (f"{work}/fresh", version):
+                    delete_folder(self.spark, left)
+                _write_once(new_rows(self.read(), incoming, keys), f"{work}/fresh")
+                _write_once(insert_or_update(self.read(), incoming, keys), f"{version}/base")
+                self.spark.sql(f"ALTER TABLE {self.name} SET LOCATION {_text(version)}")
+            fresh = self.spark.read.schema(incoming.schema).parquet(f"{work}/fresh")
             _write_once(fresh, f"{self.log}/load={load_id}")
             return
         current = self.location
