@@ -87,8 +87,10 @@ def _lenient_layout(pattern: str) -> tuple[str, dict[str, int], dict[str, int]]:
             continue
         if letter not in "yMdHhkKmsSa" or letter in groups or (letter == "M" and len(part) > 2):
             raise ValueError(f"lenient dates cannot read {part!r} in pattern {pattern!r}")
-        most = len(part) if after[:1].isalpha() and after[:1] != "a" else 5 if letter in "yMd" else 9
-        regex += "[ \\t]*+" + ("([AaPp][Mm])" if letter == "a" else f"([0-9]{{1,{most}}}+)")
+        touches = after[:1].isalpha() and after[:1] != "a"
+        most = len(part) if touches else 5 if letter in "yMd" else 9
+        zeros = "" if touches else "0*?"  # any number of zeros in front of a number
+        regex += "[ \\t]*+" + ("([AaPp][Mm])" if letter == "a" else f"{zeros}([0-9]{{1,{most}}}+)")
         groups[letter], counts[letter] = len(groups) + 1, len(part)
     return regex, groups, counts
 

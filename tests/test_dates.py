@@ -86,3 +86,9 @@ def test_lenient_fields(spark, put):
 def test_lenient_patterns_are_numeric(pattern):
     with pytest.raises(ValueError):
         DateRule(pattern, lenient=True)
+
+
+def test_lenient_numbers_may_have_any_number_of_zeros(spark, put):
+    rule = DateRule("yyyy/MM/dd HH:mm", "UTC", lenient=True)
+    texts = ["000002020/0000001/00000000002 0000000000003:4", "2020/01/02 03:04"]
+    assert read_dates(spark, put, rule, texts) == ["2020-01-02 03:04:00"] * 2
