@@ -71,9 +71,9 @@ class Dialect:
         return tests[0] | tests[1] if len(tests) == 2 else tests[0] if tests else F.lit(False)
 
     def is_malformed(self, line: Column) -> Column:
-        """Unclosed quote, text after a closing quote, or an escape character at the very end."""
+        """Empty line, unclosed quote, text after a closing quote, or an escape character at the very end."""
         well_formed = f"(?s)^{self._cell}(?:{_literal(self.delimiter)}{self._cell})*+\\z"
-        return self._has_markup(line) & ~line.rlike(well_formed)
+        return (line == "") | (self._has_markup(line) & ~line.rlike(well_formed))
 
     def split(self, line: Column) -> Column:
         """The cells of a well-formed line, quotes and escapes resolved.

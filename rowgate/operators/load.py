@@ -2,7 +2,8 @@
 happened to it.
 
 ``_load`` holds ``reason``, ``field`` and ``line``, the raw text, (all null when accepted), ``file``,
-``block`` and ``row``; the last three order the rows of a load. Nothing here shuffles except the
+``block`` and ``row``; the last three order the rows of a load. Header lines are kept with the
+reason ``header``, so that reject files can begin with them without reading the input again. Nothing here shuffles except the
 whole-file rule and the counts, and those only shuffle one row per file and task.
 """
 
@@ -23,6 +24,7 @@ from rowgate.session import new_folder, require_utc
 from rowgate.spec import LOAD_COLUMN, TableSpec, ref
 
 MALFORMED, ARITY = "malformed", "arity"
+HEADER = "header"  # the reason of header lines, which are neither accepted nor rejected
 ACCEPTED, REJECTED = "accepted", "rejected"
 
 LOAD_TYPE = T.StructType()
@@ -38,18 +40,21 @@ def tag_lines(
     lines: DataFrame, spec: TableSpec, dialect: Dialect = Dialect(), dates: DateRule = DateRule()
 ) -> DataFrame:
     """Tag the rows of ``sources.delimited.read_lines``. The first rule that fails gives the reason:
-    malformed line, wrong number of cells, then the cells from left to right."""
+    malformed line, wrong number of cells, then the cells from left to right. A line of nothing but
+    blanks is one blank cell."""
     if dates.zone:
         require_utc(lines.sparkSession)
+    is_header = F.col("header") if "header" in lines.columns else F.lit(False)
     cells = lines.select(
         "line",
         "file",
         "block",
+        is_header.alias("header"),
         dialect.is_malformed(F.col("line")).alias("malformed"),
         dialect.split(F.col("line")).alias("cells"),
     )
     width = len(spec.names)
-    line_reason = F.when(F.col("malformed"), MALFORMED).when(F.size("cells") != width, ARITY)
+    line_reason = F.when(F.col("header"), HEADER).when(F.col("malformed"), MALFORMED).when(F.size("cells") != width, ARITY)
     texts = [F.get("cells", F.lit(i)) for i in range(width)]
     return _tag(cells, "line", F.col("line"), texts, spec, dates, coerce.judge_strict, line_reason)
 
@@ -124,6 +129,10 @@ def is_accepted() -> Column:
     return F.col(f"{LOAD_COLUMN}.reason").isNull()
 
 
+def is_rejected() -> Column:
+    return F.col(f"{LOAD_COLUMN}.reason") != HEADER
+
+
 def load_order() -> Column:
     """Sort key of the rows of one load: file by file, top to bottom."""
     return F.struct(*[F.col(f"{LOAD_COLUMN}.{part}") for part in ("file", "block", "row")])
@@ -134,14 +143,21 @@ def accepted(tagged: DataFrame) -> DataFrame:
 
 
 def rejects(tagged: DataFrame) -> DataFrame:
-    return tagged.where(~is_accepted()).select(f"{LOAD_COLUMN}.*")
+    return tagged.where(is_rejected()).select(f"{LOAD_COLUMN}.*")
+
+
+def headers(tagged: DataFrame) -> DataFrame:
+    """``(file, header)``: the first line of each file of a load with headers."""
+    return tagged.where(F.col(f"{LOAD_COLUMN}.reason") == HEADER).select(
+        F.col(f"{LOAD_COLUMN}.file").alias("file"), F.col(f"{LOAD_COLUMN}.line").alias("header")
+    )
 
 
 def load_counts(tagged: DataFrame) -> DataFrame:
     """``(file, accepted, rejected)``, pre-aggregated in every task."""
     return tagged.groupBy(F.col(f"{LOAD_COLUMN}.file").alias("file")).agg(
         F.count_if(is_accepted()).alias(ACCEPTED),
-        F.count_if(~is_accepted()).alias(REJECTED),
+        F.count_if(is_rejected()).alias(REJECTED),
     )
 
 
@@ -173,14 +189,18 @@ class StagedLoad:
     def rejects(self) -> DataFrame:
         return rejects(self.tagged)
 
+    @property
+    def headers(self) -> DataFrame:
+        return headers(self.tagged)
+
     def recounted(self) -> StagedLoad:
         """The same load with its counts taken again from the written rows."""
-        totals = self.tagged.agg(F.count_if(is_accepted()).alias(ACCEPTED), F.count_if(~is_accepted()).alias(REJECTED)).first()
+        totals = self.tagged.agg(F.count_if(is_accepted()).alias(ACCEPTED), F.count_if(is_rejected()).alias(REJECTED)).first()
         return StagedLoad(self.spark, self.path, self.spec, totals.asDict())
 
     @property
     def failed_files(self) -> DataFrame:
-        """The files with at least one reject."""
+        """The files with at least one reject: without ``skip_errors``, nothing of them is stored."""
         return self.rejects.select("file").distinct()
 
     def accepted_whole_files(self) -> DataFrame:
@@ -197,6 +217,6 @@ def stage(tagged: DataFrame, spec: TableSpec, path: str | None = None) -> Staged
     spark = tagged.sparkSession
     path = path or new_folder(spark, "load")
     totals = Observation()
-    counted = tagged.observe(totals, F.count_if(is_accepted()).alias(ACCEPTED), F.count_if(~is_accepted()).alias(REJECTED))
+    counted = tagged.observe(totals, F.count_if(is_accepted()).alias(ACCEPTED), F.count_if(is_rejected()).alias(REJECTED))
     counted.write.mode("overwrite").parquet(path)
     return StagedLoad(spark, path, spec, dict(totals.get))

@@ -45,6 +45,30 @@ def test_header_is_dropped_per_file_and_order_decides(spark, put):
     assert values(accepted(tag(spark, put("5,6\n", folder="bare"), XY, has_header=False))) == [(5, 6)]
 
 
+@pytest.mark.parametrize("header", ["x,y\n", "\n", " \t\n"])
+def test_every_line_has_the_outcome_it_has_without_a_header(spark, put, header):
+    body = "1,1\n   \n\n\t\n\ufffe2,2\n2,2\n"
+    for has_header, text, folder in [(True, header + body, "with"), (False, body, "bare")]:
+        tagged = tag(spark, put(text, folder=folder), XY, has_header=has_header)
+        assert values(accepted(tagged)) == [(1, 1), (2, 2)]
+        assert reasons(tagged) == [("   ", "arity"), ("", "malformed"), ("\t", "arity"), ("\ufffe2,2", "bad_number")]
+    one = parse_spec("a|string|nullable")
+    assert values(accepted(tag(spark, put("a\nb\n  \n", folder="one"), one))) == [("b",), (None,)]
+
+
+def test_each_file_of_a_task_gives_up_its_first_line(spark, put):
+    for i in range(40):
+        folder = put(f"x,y\n{i},{i}\n", f"{i}.csv")
+    tagged = tag(spark, folder, XY)
+    assert tagged.rdd.getNumPartitions() < 40
+    assert values(accepted(tagged)) == sorted(((i, i) for i in range(40)), key=repr)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1")
+    try:
+        assert accepted(tag(spark, folder, XY)).count() == 40
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+
 def check_lines(spark, put, cases, dialect=Dialect()):
     """Load all lines as one file and compare cells, or the reject reason, line by line."""
     folder = put("".join(line + "\n" for line, _ in cases))
