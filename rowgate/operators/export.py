@@ -2,13 +2,10 @@
 
 from __future__ import annotations
 
-from urllib.parse import unquote
-
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rowgate.sources.delimited import read_headers
 from rowgate.spec import TableSpec, ref
 
 
@@ -28,19 +25,36 @@ def write_delimited(
 ) -> None:
     """Quoted where needed, null as an empty field, each file headed by ``name|type|tag...`` cells.
 
-    Cells keep their blanks. With the default line end, a line feed inside a cell is written as
-    CRLF, as Spark's writer does; ``line_end="\\n"`` keeps such cells byte for byte.
+    Cells keep every character, line ends and blanks included; an empty string is written as two
+    quotes. Rows are joined to lines by column functions and written as text: the CSV writer would
+    change the line feeds inside cells. Without rows there is one file with the header only.
     """
-    header = TableSpec(rows.schema).header_cells()
-    _plain_values(rows, header).write.mode(mode).csv(
-        path,
-        sep=delimiter[0],
-        header=True,
-        escape='"',
-        lineSep=line_end,
-        ignoreLeadingWhiteSpace=False,
-        ignoreTrailingWhiteSpace=False,
-    )
+    spark, delimiter = rows.sparkSession, delimiter[0]
+    names = TableSpec(rows.schema).header_cells()
+    header = delimiter.join(_quoted_text(name, delimiter) for name in names)
+    plain = _plain_values(rows, names)
+    cells = [F.coalesce(_quoted_cell(ref(f.name), f.dataType, delimiter), F.lit("")) for f in plain.schema]
+    written = plain.select(F.concat_ws(delimiter, *cells).alias("line"), F.monotonically_increasing_id().alias("id"))
+    begins_file = F.col("id").bitwiseAND(F.lit((1 << 33) - 1)) == 0  # the lower bits count the rows of a task
+    lines = written.select(F.when(begins_file, F.concat(F.lit(header + line_end), "line")).otherwise(F.col("line")).alias("value"))
+    total = Observation()
+    lines.observe(total, F.count("*").alias("n")).write.mode(mode).option("lineSep", line_end).text(path)
+    if not total.get["n"]:
+        spark.range(1).select(F.lit(header).alias("value")).write.mode("overwrite").option("lineSep", line_end).text(path)
+
+
+def _quoted_cell(cell: Column, data_type: T.DataType, delimiter: str) -> Column:
+    text = cell.cast("string")
+    if isinstance(data_type, T.NumericType) and delimiter in "\t,;|":
+        return text
+    found = [F.contains(text, F.lit(mark)) for mark in (delimiter, '"', "\r", "\n")]
+    marks = found[0] | found[1] | found[2] | found[3]
+    return F.when(marks | (text == ""), F.concat(F.lit('"'), F.replace(text, F.lit('"'), F.lit('""')), F.lit('"'))).otherwise(text)
+
+
+def _quoted_text(text: str, delimiter: str) -> str:
+    needed = not text or any(mark in text for mark in (delimiter, '"', "\r", "\n"))
+    return '"' + text.replace('"', '""') + '"' if needed else text
 
 
 def write_json(rows: DataFrame, path: str, mode: str = "errorifexists") -> None:
@@ -49,33 +63,29 @@ def write_json(rows: DataFrame, path: str, mode: str = "errorifexists") -> None:
 
 
 def write_rejects(
-    spark: SparkSession, rejects: DataFrame, path: str, has_header: bool = True, header_line: str | None = None
+    rejects: DataFrame, path: str, headers: DataFrame | None = None, mode: str = "errorifexists"
 ) -> None:
     """Reject text per source file, below ``path/source=<file name>-<hash>``: header, then the raw
     lines in their order. Only files with rejects appear.
 
     Rows are spread by range of (source, place): small rejects make one file per source, a source
-    with very many rejects makes several whose names sort in order. Headers are read again from the
-    files that have rejects; give ``header_line`` when all files share one, to avoid that scan.
-    Rejected attribute records have no header (``has_header=False``) and go to ``source=records``.
+    with very many rejects makes several whose names sort in order. ``headers`` are the first lines
+    the load has kept (``StagedLoad.headers``); without them no header is written. Rejected
+    attribute records have none and go to ``source=records``.
     """
     named = F.concat(F.substring_index("file", "/", -1), F.lit("-"), F.md5("file"))
     source = F.coalesce(named, F.lit("records")).alias("source")
     lines = rejects.select("file", "block", "row", F.col("line").alias("value"))
-    if has_header:
-        files = rejects.select("file").distinct()
-        if header_line is None:
-            names = [row.file for row in files.collect()]
-            headers = read_headers(spark, [unquote(n) for n in names]) if names else files.withColumn("header", F.lit(""))
-        else:
-            headers = files.withColumn("header", F.lit(header_line))
+    if headers is not None:
         before = F.lit(-1).cast("bigint")
-        lines = headers.select("file", before.alias("block"), before.alias("row"), F.col("header").alias("value")).union(lines)
+        first = headers.join(rejects.select("file").distinct(), "file", "left_semi")
+        lines = lines.union(first.select("file", before.alias("block"), before.alias("row"), F.col("header").alias("value")))
     placed = lines.select(source, "block", "row", "value")
     (
         placed.repartitionByRange("source", "block", "row")
         .sortWithinPartitions("source", "block", "row")
         .select("source", "value")
-        .write.partitionBy("source")
+        .write.mode(mode)
+        .partitionBy("source")
         .text(path, lineSep="\n")
     )

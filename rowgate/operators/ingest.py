@@ -6,12 +6,14 @@ import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from rowgate.functions.cells import Dialect
 from rowgate.functions.dates import DateRule
-from rowgate.operators.load import StagedLoad, load_order, stage, tag_attributes, tag_lines
-from rowgate.operators.tables import Table
-from rowgate.session import is_complete, new_folder
+from rowgate.operators.export import write_json, write_rejects
+from rowgate.operators.load import REJECTED, StagedLoad, load_order, stage, tag_attributes, tag_lines
+from rowgate.operators.tables import PENDING, Table
+from rowgate.session import delete_folder, is_complete, new_folder, put_mark
 from rowgate.sources.delimited import read_lines
 
 
@@ -24,6 +26,23 @@ class LoadReport:
     def rejects(self) -> DataFrame:
         return self.staged.rejects
 
+    @property
+    def _mark(self) -> str:
+        return f"{self.staged.path.rsplit('/', 1)[0]}/{PENDING}"
+
+    def export_rejects(self, path: str) -> None:
+        """Write the reject files of the load, whole again if some are there. A load without
+        rejects writes nothing. Afterwards its working folder may go."""
+        if self.staged.counts[REJECTED]:
+            write_rejects(self.rejects, path, self.staged.headers, mode="overwrite")
+            delete_folder(self.staged.spark, self._mark)
+
+    def export_failed_files(self, path: str) -> None:
+        """Write ``(file, rejected)`` for the files of which nothing was stored, as JSON Lines."""
+        if self.staged.counts[REJECTED]:
+            counted = self.rejects.groupBy("file").agg(F.count("*").alias(REJECTED))
+            write_json(counted, path, mode="overwrite")
+
 
 def load_files(
     spark: SparkSession,
@@ -64,7 +83,10 @@ def load_tagged(
         staged = StagedLoad(spark, path, table.spec).recounted()
     else:
         staged = stage(tagged, table.spec, path)
+    report = LoadReport(load_id, staged)
     if not table.holds_load(load_id):
+        if table.folder and staged.counts[REJECTED]:
+            put_mark(spark, report._mark)
         rows = staged.accepted if skip_errors else staged.accepted_whole_files()
         table.write(rows, load_order(), load_id, update)
-    return LoadReport(load_id, staged)
+    return report

@@ -4,7 +4,9 @@ Below the folder of a table, ``log/load=<id>`` holds the rows each load really i
 only, the source of the change feed) and ``versions/<id>`` a full copy made by an updating load. A
 table starts with its location at the log; an updating load moves the location to its version with
 one catalog call. Each step of a load is a written folder that a repeated load with the same id
-finds complete and skips, so a replay neither repeats nor loses rows. One writer per table.
+finds complete and skips, so a replay neither repeats nor loses rows. What readers and feeds can
+see is written below ``work`` and moved to its place as a whole folder: rows of a load that has not
+finished are never visible where moving a folder is one step (HDFS, local disks). One writer per table.
 """
 
 from __future__ import annotations
@@ -17,10 +19,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rowgate.operators.merge import conform, insert_or_update, new_rows, one_per_key
-from rowgate.session import delete_folder, is_complete, list_folders, same_folder
+from rowgate.session import delete_folder, has_mark, is_complete, list_folders, move_folder, same_folder
 from rowgate.spec import TableSpec, parse_spec
 
 FOLDER, REPLICATED = "rowgate.folder", "rowgate.replicated"
+PENDING = "_rejects-not-exported"  # mark in the working folder of a load
 BROADCAST_BYTES = 32 * 1024 * 1024
 BROADCAST_ROWS = 1_000_000
 
@@ -61,13 +64,15 @@ class Table:
             conform(rows, self.spec.schema).write.insertInto(self.name)
         elif not self.holds_load(load_id):
             if not self.spec.keys:
-                _write_once(conform(rows, self.spec.schema), f"{self.log}/load={load_id}")
+                self._publish(conform(rows, self.spec.schema), self.log, load_id)
             else:
                 self._write_keyed(rows, order, load_id, update)
         self._refresh()
 
-    def drop_old_data(self) -> list[str]:
-        """Delete versions the table no longer points at and the working folders of finished loads.
+    def drop_old_data(self, unexported_rejects: bool = False) -> list[str]:
+        """Delete versions the table no longer points at and the working folders of finished loads,
+        but for those with rejects that ``LoadReport.export_rejects`` has not written anywhere,
+        unless ``unexported_rejects`` gives these up too.
 
         An updating load leaves the version before it for readers that still use it; call this when
         there are none. Returns the deleted folders.
@@ -76,7 +81,8 @@ class Table:
             return []
         old = [v for v in list_folders(self.spark, f"{self.folder}/versions") if not same_folder(v, self.location)]
         for work in list_folders(self.spark, f"{self.folder}/work"):
-            if self.holds_load(work.rsplit("/load=", 1)[-1]):
+            kept = has_mark(self.spark, f"{work}/{PENDING}") and not unexported_rejects
+            if not kept and self.holds_load(work.rsplit("/load=", 1)[-1]):
                 old.append(work)
         for path in old:
             delete_folder(self.spark, path)
@@ -102,11 +108,19 @@ class Table:
                 _write_once(insert_or_update(self.read(), incoming, keys), f"{version}/base")
                 self.spark.sql(f"ALTER TABLE {self.name} SET LOCATION {_text(version)}")
             fresh = self.spark.read.schema(incoming.schema).parquet(f"{work}/fresh")
-            _write_once(fresh, f"{self.log}/load={load_id}")
+            self._publish(fresh, self.log, load_id)
             return
-        current = self.location
-        fresh = _write_once(new_rows(self.read(), incoming, keys), f"{current}/load={load_id}")
-        _write_once(fresh, f"{self.log}/load={load_id}")
+        fresh = self._publish(new_rows(self.read(), incoming, keys), self.location, load_id)
+        self._publish(fresh, self.log, load_id)
+
+    def _publish(self, rows: DataFrame, place: str, load_id: str) -> DataFrame:
+        """Add a load's rows to a folder that others read: written aside, then moved in one step."""
+        target, aside = f"{place}/load={load_id}", f"{self.work_folder(load_id)}/aside"
+        if not is_complete(self.spark, target):
+            delete_folder(self.spark, target)
+            rows.write.mode("overwrite").parquet(aside)
+            move_folder(self.spark, aside, target)
+        return self.spark.read.schema(rows.schema).parquet(target)
 
     def _refresh(self) -> None:
         self.spark.catalog.refreshTable(self.name)

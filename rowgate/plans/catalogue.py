@@ -504,7 +504,7 @@ def export_rejects(spark, sf_dir):
     """Reject files: per source bucket the header and the raw lines that were rejected."""
     staged = stage(_tagged_events(spark, sf_dir), parse_spec(EVENT_SPEC))
     folder = new_folder(spark, "rejects")
-    write_rejects(spark, staged.rejects, folder)
+    write_rejects(staged.rejects, folder, staged.headers)
     lines = spark.read.text(folder).where(F.col("value") != fixtures.EVENT_HEADER)
     delimiters = (F.size(F.split("line", ",", -1)) - 1).cast("bigint").alias("delimiters")
     return lines.withColumnRenamed("value", "line").select(_event_key(), delimiters)

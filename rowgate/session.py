@@ -8,6 +8,7 @@ import uuid
 from pyspark.sql import SparkSession
 
 _LOCAL_FOLDERS: dict[str, str] = {}
+_FOLDERS: dict[str, list[str]] = {}
 
 # Session settings the operators rely on; all can be set at run time.
 SETTINGS = {
@@ -65,8 +66,10 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def new_folder(spark: SparkSession, label: str) -> str:
-    """A fresh path below the shared folder. Nothing is created or removed."""
-    return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
+    """A fresh path below the shared folder. Nothing is created; ``free_folders`` removes it."""
+    path = f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
+    _FOLDERS.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
 
 
 def _hadoop_path(spark: SparkSession, path: str):
@@ -93,6 +96,42 @@ def same_folder(one: str, other: str) -> bool:
     return one.rstrip("/").split(":", 1)[-1].lstrip("/") == other.rstrip("/").split(":", 1)[-1].lstrip("/")
 
 
+def has_files(spark: SparkSession, path: str) -> bool:
+    """Whether there is anything directly below ``path``."""
+    parent, files = _hadoop_path(spark, path)
+    return files.exists(parent) and len(files.listStatus(parent)) > 0
+
+
+def move_folder(spark: SparkSession, source: str, target: str) -> None:
+    """Give a folder another place in one step, so that readers see all of it or nothing."""
+    old, files = _hadoop_path(spark, source)
+    new, _ = _hadoop_path(spark, target)
+    files.mkdirs(new.getParent())
+    if not files.rename(old, new):
+        raise RuntimeError(f"could not move {source} to {target}")
+
+
+def put_mark(spark: SparkSession, path: str) -> None:
+    """An empty file as a mark."""
+    mark, files = _hadoop_path(spark, path)
+    files.create(mark, True).close()
+
+
+def has_mark(spark: SparkSession, path: str) -> bool:
+    mark, files = _hadoop_path(spark, path)
+    return files.exists(mark)
+
+
+def free_folders(spark: SparkSession) -> list[str]:
+    """Delete the working folders this process has made, and return them. Call it when the results
+    of list filters, percentiles and loads without a table have been consumed."""
+    freed = list(_FOLDERS.get(spark.sparkContext.applicationId, ()))
+    for path in freed:
+        delete_folder(spark, path)
+    _FOLDERS.pop(spark.sparkContext.applicationId, None)
+    return freed
+
+
 def delete_folder(spark: SparkSession, path: str) -> None:
     folder, files = _hadoop_path(spark, path)
     files.delete(folder, True)

@@ -9,10 +9,11 @@ from pyspark.sql.streaming import StreamingQuery
 
 from rowgate.operators.export import write_delimited, write_json
 from rowgate.operators.tables import Table
+from rowgate.session import has_files
 
 
 def inserted_rows(table: Table) -> DataFrame:
-    """The insert log of a table as a stream. Updates and deletes are not part of it."""
+    """The insert log of a table as a stream, finished loads only. Updates and deletes are not part of it."""
     if table.folder is None:
         raise ValueError(f"{table.name} was not declared here and has no insert log")
     log = table.spark.readStream.schema(table.spec.schema).option("recursiveFileLookup", True)
@@ -44,12 +45,16 @@ def start_feed(
     table: Table, path: str, checkpoint: str, export: Callable[[DataFrame, str], None], trigger: dict | None = None
 ) -> StreamingQuery:
     """Drain new rows into ``export(rows, path/batch=<n>)``. A repeated batch overwrites its own
-    folder; a trigger without rows writes nothing. Row counts are in the query's progress."""
+    folder; a trigger without rows writes nothing. Row counts are in the query's progress.
+
+    A feed whose checkpoint is new subscribes first: what is stored so far is not delivered."""
 
     def drain(batch: DataFrame, batch_id: int) -> None:
         if not batch.isEmpty():
             export(batch, f"{path}/batch={batch_id}")
 
+    if not has_files(table.spark, f"{checkpoint}/commits"):
+        subscribe(table, checkpoint)
     return _start(table, checkpoint, drain, trigger or {"availableNow": True})
 
 

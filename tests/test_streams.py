@@ -7,6 +7,7 @@ from rowgate import Dialect, parse_spec
 from rowgate.operators.export import write_delimited, write_json
 from rowgate.operators.ingest import load_files
 from rowgate.operators.load import accepted, tag_lines
+from rowgate.operators import tables
 from rowgate.operators.tables import declare_table
 from rowgate.sources.delimited import read_lines
 from rowgate.streaming.feed import start_delimited_feed, start_json_feed, subscribe
@@ -90,6 +91,60 @@ def test_feed_delivers_each_later_insert_once(spark, put, table, tmp_path):
     assert headers == {b"k|int|primary_key\tv|string|nullable"}
 
 
+def test_feed_with_a_new_checkpoint_delivers_later_rows_only(spark, put, table, tmp_path):
+    load_files(spark, put("k,v\n1,old\n", folder="one"), table)
+    checkpoint, out = str(tmp_path / "checkpoint"), tmp_path / "out"
+    for folder, text, expected in [("two", "k,v\n", []), ("three", "k,v\n2,b\n", ["2\tb"])]:
+        load_files(spark, put(text, folder=folder), table)
+        start_delimited_feed(table, str(out), checkpoint).awaitTermination()
+        lines = [line for f in out.glob("batch=*/part-*") for line in f.read_text().splitlines()[1:]]
+        assert lines == expected
+
+
+def test_rows_of_an_unfinished_load_are_not_visible(spark, put, table, tmp_path, monkeypatch):
+    checkpoint, out = str(tmp_path / "checkpoint"), tmp_path / "out"
+    subscribe(table, checkpoint)
+
+    def lost(*args):
+        raise RuntimeError("lost")
+
+    def drain():
+        start_delimited_feed(table, str(out), checkpoint).awaitTermination()
+        return [line for f in out.glob("batch=*/part-*") for line in f.read_text().splitlines()[1:]]
+
+    folder = put("k,v\n1,a\n")
+    real = tables.move_folder
+    monkeypatch.setattr(tables, "move_folder", lost)
+    with pytest.raises(RuntimeError):
+        load_files(spark, folder, table, load_id="one")
+    spark.catalog.refreshTable(table.name)
+    assert rows(table) == [] and drain() == []
+    monkeypatch.setattr(tables, "move_folder", real)
+    load_files(spark, folder, table, load_id="one")
+    assert rows(table) == [(1, "a")] and drain() == ["1\ta"]
+
+
+def test_rejects_and_failed_files_of_a_stream(spark, put, table, tmp_path):
+    put("k,v\n1,a\nx,bad\n \n", "a.csv")
+    folder = put("k,v\n2,b\n", "b.csv")
+    out = {"rejects": str(tmp_path / "rejects"), "failed_files": str(tmp_path / "failed")}
+    start_file_load(spark, folder, table, str(tmp_path / "checkpoint"), skip_errors=False, **out).awaitTermination()
+    assert rows(table) == [(2, "b")]
+    assert [f.read_bytes() for f in (tmp_path / "rejects").glob("batch=*/source=a.csv-*/part-*")] == [b"k,v\nx,bad\n \n"]
+    failed = spark.read.json(out["failed_files"]).collect()
+    assert [(r.file.rsplit("/", 1)[-1], r.rejected) for r in failed] == [("a.csv", 2)]
+
+
+def test_working_folders_with_rejects_stay_until_exported(spark, put, table, tmp_path):
+    report = load_files(spark, put("k,v\nx,bad\n"), table, load_id="one")
+    assert table.drop_old_data() == []
+    assert report.rejects.count() == 1
+    report.export_rejects(str(tmp_path / "out"))
+    assert len(table.drop_old_data()) == 1
+    load_files(spark, put("k,v\ny,bad\n"), table, load_id="two")
+    assert len(table.drop_old_data(unexported_rejects=True)) == 1
+
+
 def test_json_feed(spark, put, table, tmp_path):
     checkpoint, out = str(tmp_path / "checkpoint"), tmp_path / "out"
     subscribe(table, checkpoint)
@@ -115,6 +170,18 @@ def test_exported_cells_come_back(spark, tmp_path, delimiter):
     assert sorted(map(tuple, back.collect())) == [(i, v or None) for i, v in enumerate(cells)]
 
 
+def test_line_ends_inside_cells_are_kept(spark, tmp_path):
+    df = spark.createDataFrame([(1, "a\nb"), (2, "c\r\nd"), (3, "")], parse_spec(KEYED).schema).coalesce(1)
+    write_delimited(df, str(tmp_path / "out"), ",")
+    found = [f.read_bytes() for f in (tmp_path / "out").glob("part-*")]
+    assert found == [b'k|int|primary_key,v|string|nullable\r\n1,"a\nb"\r\n2,"c\r\nd"\r\n3,""\r\n']
+
+
+def test_export_without_rows_is_a_header(spark, tmp_path):
+    write_delimited(spark.createDataFrame([], parse_spec(KEYED).schema), str(tmp_path / "out"))
+    assert b"".join(f.read_bytes() for f in (tmp_path / "out").glob("part-*")) == b"k|int|primary_key\tv|string|nullable\r\n"
+
+
 def test_export_then_load_is_the_identity(spark, tmp_path):
     spec = parse_spec("k|int|$primary_key,d|double,v|string|nullable,t|long|timestamp|nullable")
     cells = [v for v in ODD if v is None or (v.strip() == v and "\n" not in v and "\r" not in v)]
@@ -135,7 +202,7 @@ def test_export_then_load_is_the_identity(spark, tmp_path):
 def test_record_ends_are_crlf_and_headers_come_first(spark, tmp_path):
     df = spark.createDataFrame([(1, "a\tb"), (2, "\tc"), (3, "d\re"), (4, None)], parse_spec(KEYED).schema).coalesce(1)
     write_delimited(df, str(tmp_path / "out"))
-    found = [f.read_bytes() for f in (tmp_path / "out").glob("part-*.csv")]
+    found = [f.read_bytes() for f in (tmp_path / "out").glob("part-*.txt")]
     assert found == [b'k|int|primary_key\tv|string|nullable\r\n1\t"a\tb"\r\n2\t"\tc"\r\n3\t"d\re"\r\n4\t\r\n']
 
 

@@ -92,26 +92,34 @@ def test_update_keeps_last_and_logs_inserts_only(spark, put, name):
     assert sorted(map(tuple, log.collect())) == [(1, "a"), (2, "b"), (3, "y"), (4, "w")]
 
 
+def stop_after(monkeypatch, steps):
+    """Let the next load fail once it has written or moved that many folders."""
+    done = []
+
+    def counted(real):
+        def step(*args):
+            if len(done) == steps:
+                raise RuntimeError("lost")
+            done.append(args)
+            return real(*args)
+
+        return step
+
+    for name in ("_write_once", "move_folder"):
+        monkeypatch.setattr(tables, name, counted(getattr(tables, name)))
+
+
 def test_update_that_fails_on_the_way_changes_nothing_and_resumes(spark, put, name, monkeypatch):
     table = declare_table(spark, name, KEYED)
     load_files(spark, put("k,v\n1,a\n", folder="one"), table)
     two = put("k,v\n1,x\n2,y\n", folder="two")
-    real, done = tables._write_once, []
-
-    def failing(df, path):
-        if len(done) == stop:
-            raise RuntimeError("lost")
-        done.append(path)
-        return real(df, path)
-
     for stop, expected in [(2, [(1, "a")]), (3, [(1, "x"), (2, "y")])]:
-        monkeypatch.setattr(tables, "_write_once", failing)
-        done.clear()
+        stop_after(monkeypatch, stop)
         with pytest.raises(RuntimeError):
             load_files(spark, two, table, update=True, load_id="two")
         spark.catalog.refreshTable(name)
         assert rows(table) == expected
-    monkeypatch.setattr(tables, "_write_once", real)
+        monkeypatch.undo()
     load_files(spark, two, table, update=True, load_id="two")
     assert rows(table) == [(1, "x"), (2, "y")]
     log = spark.read.option("recursiveFileLookup", True).parquet(table.log)
@@ -126,18 +134,11 @@ def test_update_repeated_after_another_load(spark, put, name, monkeypatch, stop,
         pytest.skip("a load that moved the table is finished before the next update")
     table = declare_table(spark, name, KEYED)
     load_files(spark, put("k,v\n1,a\n", folder="one"), table)
-    two, real, done = put("k,v\n1,x\n2,y\n", folder="two"), tables._write_once, []
-
-    def failing(df, path):
-        if len(done) == stop:
-            raise RuntimeError("lost")
-        done.append(path)
-        return real(df, path)
-
-    monkeypatch.setattr(tables, "_write_once", failing)
+    two = put("k,v\n1,x\n2,y\n", folder="two")
+    stop_after(monkeypatch, stop)
     with pytest.raises(RuntimeError):
         load_files(spark, two, table, update=True, load_id="two")
-    monkeypatch.setattr(tables, "_write_once", real)
+    monkeypatch.undo()
     load_files(spark, put("k,v\n2,between\n5,b\n", folder="three"), table, update=update_between)
     load_files(spark, two, table, update=True, load_id="two")
     load_files(spark, two, table, update=True, load_id="two")
@@ -176,13 +177,12 @@ def test_fail_whole_file(spark, put, name):
     assert report.rejects.count() == 1
 
 
-@pytest.mark.parametrize("header_line", [None, "x,y"])
-def test_reject_file_is_byte_exact(spark, put, name, tmp_path, header_line):
+def test_reject_file_is_byte_exact(spark, put, name, tmp_path):
     table = declare_table(spark, name, "x|int,y|int")
     put("x,y\n1,1\n,2\n3,3\n4,4\n,5\n", "bad one+%.csv", folder="in put")
     folder = put("x,y\n3,3\n", "good.csv", folder="in put")
     report = load_files(spark, folder, table)
-    write_rejects(spark, report.rejects, str(tmp_path / "out"), header_line=header_line)
+    report.export_rejects(str(tmp_path / "out"))
     found = list((tmp_path / "out").glob("source=*/part-*"))
     assert [f.read_bytes() for f in found] == [b"x,y\n,2\n,5\n"]
 
@@ -190,7 +190,7 @@ def test_reject_file_is_byte_exact(spark, put, name, tmp_path, header_line):
 def test_no_rejects_make_no_reject_file(spark, put, name, tmp_path):
     table = declare_table(spark, name, "x|int,y|int")
     report = load_files(spark, put("x,y\n3,3\n"), table)
-    write_rejects(spark, report.rejects, str(tmp_path / "out"))
+    write_rejects(report.rejects, str(tmp_path / "out"), report.staged.headers)
     assert list((tmp_path / "out").glob("source=*")) == []
 
 
@@ -200,7 +200,7 @@ def test_many_rejects_of_one_file_keep_their_order_over_part_files(spark, put, n
         table = declare_table(spark, name, "x|int")
         text = "x\n" + "".join(f"bad{i}\n" for i in range(3000))
         report = load_files(spark, put(text), table)
-        write_rejects(spark, report.rejects, str(tmp_path / "out"))
+        report.export_rejects(str(tmp_path / "out"))
     finally:
         spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
     parts = sorted((tmp_path / "out").glob("source=*/part-*"))
@@ -253,7 +253,7 @@ def test_attribute_record_without_its_key_fails(spark, name, tmp_path):
     report = load_records(records(spark, [{"k": "1"}, {"v": "x"}]), "attrs", table)
     assert rows(table) == [(1, None)]
     assert [(r.reason, r.field, r.line) for r in report.rejects.collect()] == [("null", "k", '{"v":"x"}')]
-    write_rejects(spark, report.rejects, str(tmp_path / "out"), has_header=False)
+    report.export_rejects(str(tmp_path / "out"))
     assert [f.read_text() for f in (tmp_path / "out").glob("source=records/part-*")] == ['{"v":"x"}\n']
 
 
