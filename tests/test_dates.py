@@ -60,6 +60,40 @@ def test_lenient_dates_roll_over(spark, put):
     rule = DateRule("yyyy/MM/dd HH:mm:ss", "UTC", lenient=True)
     assert dict(zip(cases, read_dates(spark, put, rule, cases))) == cases
     assert read_dates(spark, put, rule, ["99999/99999/99999 999999999:999999999:999999999"])[0].startswith("+2")
+    assert read_dates(spark, put, rule, ["294247/1/1 0:0:0", "1970/1/100000000 0:0:0", "1970/1/1 0:0:9000000000000"]) == [
+        "+294247-01-01 00:00:00",
+        "+275760-09-12 00:00:00",
+        "+287168-08-24 16:00:00",
+    ]
+    for text in ["294248/1/1 0:0:0", "1/99999999/1 0:0:0", "1/1/1 999999999999999999:0:0", "1/1/9999999999999999999 0:0:0"]:
+        assert read_dates(spark, put, rule, [text]) == ["bad_timestamp"]
+
+
+@pytest.mark.parametrize("lenient", [False, True])
+def test_both_readings_agree(spark, put, lenient):
+    def read(pattern, *texts):
+        return read_dates(spark, put, DateRule(pattern, "UTC", lenient=lenient), texts)
+
+    near = date.today().year + 20
+    short = [f"1/2/{year % 100:02d}" for year in (near - 1, near + 1)]
+    assert read("d/M/yy", *short, "1/2/2085", "1/2/123") == [
+        f"{near - 1}-02-01 00:00:00",
+        f"{near - 99}-02-01 00:00:00",
+        "2085-02-01 00:00:00",
+        "0123-02-01 00:00:00",
+    ]
+    assert read("yyMMdd HH", f"{(near + 1) % 100:02d}0203 04") == [f"{near - 99}-02-03 04:00:00"]
+    hours = ["1-2-2020 12:30:00", "1-2-2020 13:30:00", "1-2-2020 0:30:00"]
+    assert read("d-M-yyyy hh:mm:ss", *hours) == ["2020-02-01 00:30:00", "2020-02-01 13:30:00", "2020-02-01 00:30:00"]
+    assert read("d-M-yyyy hh:mm a", "1-2-2020 12:30 AM", "1-2-2020 12:30 PM") == ["2020-02-01 00:30:00", "2020-02-01 12:30:00"]
+
+
+def test_weekdays(spark, put):
+    rule = DateRule("EEE, dd MMM yyyy", "UTC")
+    texts = ["Sat, 04 Jul 2020", "saturday, 4 Jul 2020", "Fri, 04 Jul 2020", "Satan, 04 Jul 2020", "04 Jul 2020"]
+    assert read_dates(spark, put, rule, texts) == ["2020-07-04 00:00:00"] * 3 + ["bad_timestamp"] * 2
+    with pytest.raises(ValueError):
+        DateRule("dd MMM yyyy EEE")
 
 
 def test_lenient_fields(spark, put):
