@@ -146,6 +146,24 @@ def load_timestamp_lenient(spark, sf_dir):
     return rows.select("event_id", _wall_clock("ts"))
 
 
+@query
+def load_timestamp_two_digit_year(spark, sf_dir):
+    written = F.date_format("o_orderdate", "dd/MM/yy")
+    folder = delimited(spark, sf_dir, "orders-short-years", "orders", ["o_orderkey", written])
+    spec = parse_spec("o_orderkey|long|$primary_key,o_orderdate|long|timestamp")
+    rows = accepted(tag_lines(read_lines(spark, folder), spec, dates=DateRule("dd/MM/yy", "UTC")))
+    return rows.select("o_orderkey", _wall_clock("o_orderdate"))
+
+
+@query
+def load_timestamp_hour_twelve(spark, sf_dir):
+    written = F.date_format("ts", "yyyy-MM-dd hh:mm:ss")
+    folder = delimited(spark, sf_dir, "events-hours", "events", ["event_id", written])
+    spec = parse_spec("event_id|long|$primary_key,ts|long|timestamp")
+    rows = accepted(tag_lines(read_lines(spark, folder), spec, dates=DateRule("yyyy-MM-dd hh:mm:ss", "UTC")))
+    return rows.select("event_id", _wall_clock("ts"))
+
+
 # Attribute records
 
 
@@ -198,11 +216,18 @@ def load_attributes_lenient(spark, sf_dir):
     return accepted(tag_attributes(spark.read.parquet(folder), "attrs", spec))
 
 
-def _orders_with_bad_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
+_DATED_SPEC = "o_orderkey|long|$primary_key,o_orderdate|long|timestamp"
+
+
+def _records_with_bad_dates(spark: SparkSession, sf_dir: str) -> str:
     written = F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss")
     entries = {"o_orderkey": F.col("o_orderkey"), "o_orderdate": F.when(F.col("o_orderkey") % 13 == 4, "soon").otherwise(written)}
-    records = spark.read.parquet(attribute_records(spark, sf_dir, "orders-dates", "orders", entries))
-    return tag_attributes(records, "attrs", parse_spec("o_orderkey|long|$primary_key,o_orderdate|long|timestamp"), _ORDER_DATES)
+    return attribute_records(spark, sf_dir, "orders-dates", "orders", entries)
+
+
+def _orders_with_bad_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    records = spark.read.parquet(_records_with_bad_dates(spark, sf_dir))
+    return tag_attributes(records, "attrs", parse_spec(_DATED_SPEC), _ORDER_DATES)
 
 
 @query
@@ -397,6 +422,102 @@ def stream_two_sources(spark, sf_dir):
     return _order_rows(loaded.read())
 
 
+@query
+def stream_load_rejects(spark, sf_dir):
+    """The reject files that a streaming load writes, batch by batch."""
+    loaded, out = _new_table(spark, "stream", EVENT_SPEC), new_folder(spark, "rejects")
+    start_file_load(
+        spark,
+        event_files(spark, sf_dir),
+        loaded,
+        new_folder(spark, "checkpoint"),
+        dates=DateRule(EVENT_DATES, "UTC"),
+        files_per_trigger=4,
+        rejects=out,
+    ).awaitTermination()
+    lines = spark.read.schema("value string").text(out).where(F.col("value") != fixtures.EVENT_HEADER)
+    return lines.withColumnRenamed("value", "line").select(_event_key())
+
+
+@query
+def stream_attribute_failures(spark, sf_dir):
+    """The failed records of a stream, as their reject files hold them."""
+    out = new_folder(spark, "rejects")
+    loaded = _new_table(spark, "dated", _DATED_SPEC)
+    records = spark.readStream.schema("attrs map<string,string>").parquet(_records_with_bad_dates(spark, sf_dir))
+    start_record_load(
+        records, "attrs", loaded, new_folder(spark, "checkpoint"), _ORDER_DATES, rejects=out
+    ).awaitTermination()
+    parsed = spark.read.schema("value string").text(out).select(F.from_json("value", "map<string,string>").alias("attrs"))
+    return parsed.select(F.col("attrs.o_orderkey").cast("bigint").alias("o_orderkey"))
+
+
+@query
+def load_failed_files(spark, sf_dir):
+    """The files that one bad row kept out, with their rejects."""
+    loaded, out = _new_table(spark, "whole", EVENT_SPEC), new_folder(spark, "failed")
+    dates = DateRule(EVENT_DATES, "UTC")
+    load_files(spark, event_files(spark, sf_dir, broken=False), loaded, dates=dates, skip_errors=False).export_failed_files(out)
+    failed = spark.read.schema("file string, rejected bigint").json(out)
+    bucket = F.regexp_extract("file", "bucket=([0-9]+)", 1).cast("bigint").alias("bucket")
+    return failed.groupBy(bucket).agg(F.sum("rejected").alias("rejected"))
+
+
+@query
+def load_blank_lines(spark, sf_dir):
+    """Orders with an empty line and a line of blanks after some of them, with and without a header."""
+    after = F.when(F.col("o_orderkey") % 5 == 0, "\n").when(F.col("o_orderkey") % 5 == 1, "\n \t").otherwise("")
+    line = F.concat(F.concat_ws(",", "o_orderkey", "o_orderstatus"), after).alias("line")
+    outcomes = []
+    for header in (True, False):
+        folder = new_folder(spark, "orders-blank")
+        fixtures.write_text(table(spark, sf_dir, "orders").select(line), folder, "k,s" if header else None)
+        tagged = tag_lines(read_lines(spark, folder, header), parse_spec("k|long|$primary_key,s|string"))
+        outcome = F.coalesce(F.col("_load.reason"), F.lit("accepted")).alias("outcome")
+        counted = tagged.select(outcome).where("outcome != 'header'").groupBy("outcome").agg(F.count("*").alias("n"))
+        outcomes.append(counted.select(F.lit(header).alias("has_header"), "outcome", "n"))
+    return outcomes[0].unionByName(outcomes[1])
+
+
+@query
+def table_retry_after_other_load(spark, sf_dir):
+    """An updating load stops once its new version is written, another load comes, then it is retried."""
+    stored = _new_table(spark, "retry", "o_orderkey|long|$primary_key,o_custkey|long,o_totalprice|double")
+    before, incoming = _stored_and_incoming(spark, sf_dir)
+    stored.write(before, F.col("o_orderkey"), "stored")
+    version = f"{stored.folder}/versions/incoming/base"
+    conform(incoming, stored.spec.schema).write.parquet(version)
+    others = before.withColumn("o_orderkey", F.lit(10_000_000_000) + F.col("o_orderkey"))
+    stored.write(others, F.col("o_orderkey"), "others")
+    stored.write(incoming, F.col("o_orderkey"), "incoming", update=True)
+    return stored.read()
+
+
+@query
+def collection_tables(spark, sf_dir):
+    """A table declared in a collection is found by its full name."""
+    collection = f"c_{uuid.uuid4().hex}"
+    spec = "n_nationkey|int|$primary_key,n_name|string"
+    nations = declare_table(spark, "nation", spec, collection=collection, folder=new_folder(spark, "collection"))
+    nations.write(table(spark, sf_dir, "nation").select("n_nationkey", "n_name"), F.col("n_nationkey"), "nations")
+    return read_table(spark, f"{collection}.nation")
+
+
+@query
+def feed_read_counts(spark, sf_dir):
+    """Rows read per trigger, as the feed's own progress reports them."""
+    feed = _new_table(spark, "feed", EVENT_SPEC)
+    events = table(spark, sf_dir, "events").withColumn("ts", F.col("ts").cast("timestamp"))
+    checkpoint, out, found = new_folder(spark, "checkpoint"), new_folder(spark, "out"), []
+    subscribe(feed, checkpoint)
+    for part in (0, 1, 2):
+        feed.write(events.where(f"event_id % 3 = {part}"), F.col("event_id"), f"part-{part}")
+        drained = start_json_feed(feed, out, checkpoint)
+        drained.awaitTermination()
+        found.append((part, sum(p["numInputRows"] for p in drained.recentProgress)))
+    return spark.createDataFrame(found, "part int, n bigint")
+
+
 @query
 def page_records_all(spark, sf_dir):
     """All conversations, page after page by a key of two columns."""
@@ -441,6 +562,22 @@ def change_feed_json(spark, sf_dir):
     )
 
 
+@query
+def change_feed_after_failed_load(spark, sf_dir):
+    """A load that stopped after its rows were written, then the same load again: each row once."""
+    feed = _new_table(spark, "feed", EVENT_SPEC)
+    events = table(spark, sf_dir, "events").withColumn("ts", F.col("ts").cast("timestamp"))
+    checkpoint, out = new_folder(spark, "checkpoint"), new_folder(spark, "out")
+    subscribe(feed, checkpoint)
+    conform(events, feed.spec.schema).write.parquet(f"{feed.work_folder('load')}/aside")
+    start_delimited_feed(feed, out, checkpoint).awaitTermination()
+    for _ in range(2):
+        feed.write(events, F.col("event_id"), "load")
+        start_delimited_feed(feed, out, checkpoint).awaitTermination()
+    rows = accepted(tag_lines(read_lines(spark, out), parse_spec(EVENT_SPEC), Dialect("\t")))
+    return rows.select("event_id", "user_id", "event_type", "value")
+
+
 # Exports
 
 
@@ -465,6 +602,18 @@ def export_delimited(spark, sf_dir):
     return back.select("event_id", "event_type", "value")
 
 
+@query
+def export_raw_cells(spark, sf_dir):
+    """Each record up to its CRLF as it stands in the file, with line ends inside cells."""
+    r = F.col("event_id") % 40
+    kind = F.when(r == 1, "a\nb").when(r == 2, "c\rd").when(r == 3, 'e"f').when(r != 4, F.col("event_type"))
+    rows = _typed_events(spark, sf_dir, kind).select("event_id", "event_type")
+    folder = new_folder(spark, "export")
+    write_delimited(rows, folder, ",")
+    records = spark.read.schema("value string").option("lineSep", "\r\n").text(folder)
+    return records.where(F.col("value").rlike("^[0-9]")).withColumnRenamed("value", "record")
+
+
 @query
 def export_typed_header(spark, sf_dir):
     """The header cells found in the exported files, each with the number of values below it."""

@@ -47,6 +47,13 @@ def write_lines(rows: DataFrame, folder: str, header: str | None = None) -> None
     )
 
 
+def write_text(rows: DataFrame, folder: str, header: str | None = None) -> None:
+    """Write the ``line`` column, line feeds inside it and all, as text files that begin with ``header``."""
+    begins_file = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)) == 0
+    line = F.when(begins_file, F.concat(F.lit(f"{header}\n"), "line")).otherwise(F.col("line")) if header else F.col("line")
+    rows.select(line.alias("value")).write.text(folder)
+
+
 def cells(*columns: Column | str) -> list[Column]:
     return [(F.col(c) if isinstance(c, str) else c).cast("string") for c in columns]
 

@@ -111,6 +111,29 @@ FROM events""",
     "export_rejects": f"""
 SELECT event_id, CASE event_id % 50 WHEN 7 THEN 3 WHEN 11 THEN 5 ELSE 4 END AS delimiters
 FROM events WHERE event_id % 50 IN {_BAD_EVENTS}""",
+    "load_blank_lines": """
+WITH outcomes AS (
+  SELECT 'accepted' AS outcome, count(*) AS n FROM orders
+  UNION ALL SELECT 'malformed', count(*) FROM orders WHERE o_orderkey % 5 = 0
+  UNION ALL SELECT 'arity', count(*) FROM orders WHERE o_orderkey % 5 = 1)
+SELECT has_header, outcome, n FROM outcomes, (VALUES (true), (false)) AS h(has_header) WHERE n > 0""",
+    "load_failed_files": "SELECT event_id % 8 AS bucket, count(*) AS rejected FROM events WHERE event_id % 50 = 17 GROUP BY 1",
+    "load_timestamp_two_digit_year": "SELECT o_orderkey, CAST(o_orderdate AS TIMESTAMP) AS o_orderdate FROM orders",
+    "load_timestamp_hour_twelve": """
+SELECT event_id, date_trunc('second', ts) - CASE WHEN hour(ts) >= 12 THEN INTERVAL 12 HOUR ELSE INTERVAL 0 HOUR END AS ts
+FROM events""",
+    "stream_load_rejects": f"SELECT event_id FROM events WHERE event_id % 50 IN {_BAD_EVENTS}",
+    "stream_attribute_failures": "SELECT o_orderkey FROM orders WHERE o_orderkey % 13 = 4",
+    "table_retry_after_other_load": """
+SELECT o_orderkey, o_custkey, CASE WHEN o_orderkey % 3 = 0 THEN o_totalprice + 1 ELSE o_totalprice END AS o_totalprice FROM orders
+UNION ALL SELECT -o_orderkey, o_custkey, o_totalprice + 1 FROM orders WHERE o_orderkey % 3 <> 0
+UNION ALL SELECT 10000000000 + o_orderkey, o_custkey, o_totalprice FROM orders""",
+    "collection_tables": "SELECT n_nationkey, n_name FROM nation",
+    "feed_read_counts": "SELECT event_id % 3 AS part, count(*) AS n FROM events GROUP BY 1",
+    "change_feed_after_failed_load": "SELECT event_id, user_id, event_type, value FROM events",
+    "export_raw_cells": """
+SELECT event_id || ',' || CASE event_id % 40 WHEN 1 THEN '"a' || chr(10) || 'b"' WHEN 2 THEN '"c' || chr(13) || 'd"'
+  WHEN 3 THEN '"e""f"' WHEN 4 THEN '' ELSE event_type END AS record FROM events""",
     "groupby_having": "SELECT user_id, count(*) AS n FROM events GROUP BY 1 HAVING count(*) > 70",
     "stat_percentile": "SELECT event_type, round(quantile_cont(value, 0.9), 6) AS p90 FROM events GROUP BY 1",
     "filter_in_list": "SELECT event_id, event_type FROM events WHERE event_type IN ('view', 'click')",

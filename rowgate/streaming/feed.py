@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from rowgate.operators.export import write_delimited, write_json
 from rowgate.operators.tables import Table
-from rowgate.session import has_files
+from rowgate.session import delete_folder, has_files
 
 
 def inserted_rows(table: Table) -> DataFrame:
@@ -50,8 +51,10 @@ def start_feed(
     A feed whose checkpoint is new subscribes first: what is stored so far is not delivered."""
 
     def drain(batch: DataFrame, batch_id: int) -> None:
-        if not batch.isEmpty():
-            export(batch, f"{path}/batch={batch_id}")
+        total, target = Observation(), f"{path}/batch={batch_id}"
+        export(batch.observe(total, F.count("*").alias("n")), target)  # the only reading, so that progress counts are right
+        if not total.get["n"]:
+            delete_folder(batch.sparkSession, target)
 
     if not has_files(table.spark, f"{checkpoint}/commits"):
         subscribe(table, checkpoint)
