@@ -1,7 +1,8 @@
 """Declared tables: a catalog entry whose location is the pointer to the current data.
 
 Below the folder of a table, ``log/load=<id>`` holds the rows each load really inserted (append
-only, the source of the change feed) and ``versions/<id>`` a full copy made by an updating load. A
+only, the source of the change feed) and ``versions/<id>`` a full copy made by an updating load
+that changes stored rows (one with new keys only is added like an insert). A
 table starts with its location at the log; an updating load moves the location to its version with
 one catalog call. Each step of a load is a written folder that a repeated load with the same id
 finds complete and skips, so a replay neither repeats nor loses rows. What readers and feeds can
@@ -100,13 +101,17 @@ class Table:
         incoming = _write_once(conform(chosen, self.spec.schema), f"{work}/incoming")
         if update:
             version = f"{self.folder}/versions/{load_id}"
-            if not same_folder(self.location, version):
+            current = self.location
+            if not same_folder(current, version) and not is_complete(self.spark, f"{current}/load={load_id}"):
                 # What an interrupted attempt left was computed from a table that may have changed.
                 for left in (f"{work}/fresh", version):
                     delete_folder(self.spark, left)
-                _write_once(new_rows(self.read(), incoming, keys), f"{work}/fresh")
-                _write_once(insert_or_update(self.read(), incoming, keys), f"{version}/base")
-                self.spark.sql(f"ALTER TABLE {self.name} SET LOCATION {_text(version)}")
+                fresh = _write_once(new_rows(self.read(), incoming, keys), f"{work}/fresh")
+                if fresh.count() == incoming.count():  # nothing stored changes: no new version
+                    self._publish(fresh, current, load_id)
+                else:
+                    _write_once(insert_or_update(self.read(), incoming, keys), f"{version}/base")
+                    self.spark.sql(f"ALTER TABLE {self.name} SET LOCATION {_text(version)}")
             fresh = self.spark.read.schema(incoming.schema).parquet(f"{work}/fresh")
             self._publish(fresh, self.log, load_id)
             return

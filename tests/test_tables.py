@@ -147,12 +147,32 @@ def test_update_repeated_after_another_load(spark, put, name, monkeypatch, stop,
     assert sorted(r.k for r in log.collect()) == [1, 2, 5]
 
 
+@pytest.mark.parametrize("stop", [None, 0, 1, 2, 3])
+def test_update_with_new_keys_only_makes_no_version(spark, put, name, monkeypatch, stop):
+    """Also when it is interrupted after any step, and when the table has moved to a version before."""
+    table = declare_table(spark, name, KEYED)
+    load_files(spark, put("k,v\n1,a\n", folder="one"), table)
+    load_files(spark, put("k,v\n1,b\n", folder="two"), table, update=True)
+    moved, three = table.location, put("k,v\n2,c\n3,d\n", folder="three")
+    if stop is not None:
+        stop_after(monkeypatch, stop)
+        with pytest.raises(RuntimeError):
+            load_files(spark, three, table, update=True, load_id="three")
+        monkeypatch.undo()
+    load_files(spark, three, table, update=True, load_id="three")
+    assert table.location == moved
+    assert rows(table) == [(1, "b"), (2, "c"), (3, "d")]
+    log = spark.read.schema(table.spec.schema).option("recursiveFileLookup", True).parquet(table.log)
+    assert sorted(map(tuple, log.collect())) == [(1, "a"), (2, "c"), (3, "d")]
+
+
 def test_old_versions_are_dropped_on_request(spark, put, name):
     table = declare_table(spark, name, KEYED)
     for i in range(3):
         load_files(spark, put(f"k,v\n1,a{i}\n{i + 2},b\n", folder=f"in{i}"), table, update=True, load_id=f"l{i}")
+    assert not table.location.endswith("/log")
     dropped = sorted(path.split(table.folder.split(":")[-1])[-1] for path in table.drop_old_data())
-    assert dropped == ["/versions/l0", "/versions/l1", "/work/load=l0", "/work/load=l1", "/work/load=l2"]
+    assert dropped == ["/versions/l1", "/work/load=l0", "/work/load=l1", "/work/load=l2"]
     assert rows(table) == [(1, "a2"), (2, "b"), (3, "b"), (4, "b")]
     load_files(spark, put("k,v\n1,late\n", folder="in1"), table, update=True, load_id="l1")
     assert rows(table) == [(1, "a2"), (2, "b"), (3, "b"), (4, "b")]
