@@ -31,8 +31,8 @@ class DateRule:
     With ``lenient``, fields roll over (month 13 is January of the next year) and text after the date
     is ignored; patterns are then limited to numbers and the am/pm marker.
 
-    Either way a two-digit year is one of the years from 80 before to 20 after today, and a 12-hour
-    field takes 12 as 0, also without an am/pm marker. A weekday may begin a date (not a lenient
+    Either way a two-digit year is one of the years from 80 before to 20 after today. A 12-hour
+    field without an am/pm marker is on the 24-hour clock; ``lenient`` takes 12 as 0 there. A weekday may begin a date (not a lenient
     one); it must be a weekday's English name but need not be the right one.
     """
 
@@ -66,11 +66,8 @@ class DateRule:
             cell = F.when(cell.rlike(begins), F.regexp_replace(cell, begins, ""))
         pattern = spark_pattern(rest)
         written = F.try_to_timestamp(cell, F.lit(pattern)).cast("timestamp")
-        parts = {part[0]: len(part) for part in _pattern_parts(rest)}
-        if parts.get("y", 4) <= 2:
+        if {"y", "yy"} & set(_pattern_parts(rest)):
             written = _near_century(written, "yy" in _pattern_parts(pattern))
-        if "h" in parts and "a" not in parts:
-            written = F.when(F.hour(written) == 12, written - F.expr("INTERVAL 12 HOURS")).otherwise(written)
         if self.zone is None or _ZONE_LETTERS & _letters(rest):
             return written
         return F.to_utc_timestamp(written, self.zone)

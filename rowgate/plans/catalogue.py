@@ -160,7 +160,8 @@ def load_timestamp_hour_twelve(spark, sf_dir):
     written = F.date_format("ts", "yyyy-MM-dd hh:mm:ss")
     folder = delimited(spark, sf_dir, "events-hours", "events", ["event_id", written])
     spec = parse_spec("event_id|long|$primary_key,ts|long|timestamp")
-    rows = accepted(tag_lines(read_lines(spark, folder), spec, dates=DateRule("yyyy-MM-dd hh:mm:ss", "UTC")))
+    rule = DateRule("yyyy-MM-dd hh:mm:ss", "UTC", lenient=True)
+    rows = accepted(tag_lines(read_lines(spark, folder), spec, dates=rule))
     return rows.select("event_id", _wall_clock("ts"))
 
 
