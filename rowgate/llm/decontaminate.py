@@ -103,11 +103,12 @@ class Matcher:
                 place -= line.count(" ", start, at)
             at = start
             for pattern, offset in patterns:
-                first = max(0, place - offset - pattern.allowed)
-                if (id(pattern), first) in seen:
+                aligned = place - offset  # may lie before the text; windows of different alignments end apart
+                if (id(pattern), aligned) in seen:
                     continue
-                seen.add((id(pattern), first))
-                errors, stop = pattern.search(words[first : place - offset + pattern.n + pattern.allowed])
+                seen.add((id(pattern), aligned))
+                first = max(0, aligned - pattern.allowed)
+                errors, stop = pattern.search(words[first : aligned + pattern.n + pattern.allowed])
                 old = found.get(id(pattern))
                 if errors <= pattern.allowed and (old is None or errors < old[1]):
                     found[id(pattern)] = (pattern, errors, first + stop)
