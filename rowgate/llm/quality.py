@@ -1,15 +1,17 @@
 """Quality classifier with supervised subword embeddings.
 
 A word is the mean of learned vectors for itself and its character n-grams, hashed into ``BUCKETS``
-rows; a word that repeats the one before it adds a marker, the one word 2-gram that is kept. A
-document is the mean of its words, and a softmax over two classes gives its score. The vectors are
-trained by stochastic gradient descent in numpy on at most ``TRAIN_DOCS`` labelled documents, those
-whose ids hash lowest; every document is scored on its whole text.
+rows, each n-gram once. In words of over ``LONG`` characters, as texts without blanks have them, an
+n-gram counts as often as it stands there; they are counted slice by slice. A word that repeats the
+one before it adds a marker, the one word 2-gram that is kept. A document is the mean of its words,
+and a softmax over two classes gives its score. The vectors are trained by stochastic gradient
+descent in numpy on at most ``TRAIN_DOCS`` labelled documents, those whose ids hash lowest; every
+document is scored on its whole text.
 
 The class scores are linear in the mean, so scoring needs one number per word, kept for up to
-``_KEPT`` words. Null and empty texts get the score of the bias alone. Where a document has several
-labels the lowest counts; without any labels every score is one half. Repeated rows are scored one
-by one; an empty table gives no rows.
+``_KEPT`` words that are not long. Null and empty texts get the score of the bias alone. Where a
+document has several labels the lowest counts; without any labels every score is one half. Repeated
+rows are scored one by one; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -32,17 +34,29 @@ ACCEPTED = 0.7
 HELD_OUT = 2
 _REPEAT = "\0repeat"
 _KEPT = 400_000
+LONG, _SLICE = 64, 1 << 16
 
 
 def buckets(word: str) -> list[int]:
-    """The rows of a word: the word itself and its character n-grams."""
+    """The rows of a word that is not long: the word itself and its character n-grams."""
     if word == _REPEAT:
         return [crc32(word.encode()) % BUCKETS]
-    marked = f"<{word[:64]}>"  # n-grams from the first 64 characters, the word itself from all
+    marked = f"<{word}>"
     grams = {marked[i : i + n] for n in range(GRAMS[0], GRAMS[1] + 1) for i in range(len(marked) - n + 1)}
     return [crc32(word.encode()) % BUCKETS, *(crc32(b"\1" + g.encode()) % BUCKETS for g in sorted(grams))]
 
 
+def long_buckets(word: str) -> tuple[np.ndarray, np.ndarray]:
+    """The rows of a long word, and how often each counts."""
+    marked, found = f"<{word}>", Counter([crc32(word.encode()) % BUCKETS])
+    for n in range(GRAMS[0], GRAMS[1] + 1):
+        for at in range(0, len(marked) - n + 1, _SLICE):
+            part = marked[at : at + _SLICE + n - 1]
+            for gram, times in Counter(map("".join, zip(*(part[i:] for i in range(n))))).items():
+                found[crc32(b"\1" + gram.encode()) % BUCKETS] += times
+    return np.array(list(found), np.int32), np.array(list(found.values()), np.int64)
+
+
 def tokens(text: str) -> Counter:
     """The words of a text with their numbers, and how often a word follows itself."""
     words = text.split()
@@ -64,6 +78,9 @@ class Model:
         weights, bias, known = self.weights.tolist(), self.bias, {}
 
         def word_score(word: str) -> float:
+            if len(word) > LONG:
+                rows, times = long_buckets(word)
+                return float(self.weights[rows].astype(float) @ times / times.sum())
             rows = buckets(word)
             return sum(map(weights.__getitem__, rows)) / len(rows)
 
@@ -73,10 +90,14 @@ class Model:
             words = text.split()
             if len(known) > _KEPT:
                 known.clear()
+            once = {}
             for word in set(words).difference(known):
-                known[word] = word_score(word)
+                (known if len(word) <= LONG else once)[word] = word_score(word)
             repeats = sum(map(eq, words, words[1:]))
-            total = sum(map(known.__getitem__, words)) + repeats * repeat
+            if once:
+                total = sum(once[w] if w in once else known[w] for w in words) + repeats * repeat
+            else:
+                total = sum(map(known.__getitem__, words)) + repeats * repeat
             odds = bias + total / max(1, len(words) + repeats)
             return float(1 / (1 + np.exp(-np.clip(odds, -60, 60))))
 
@@ -93,6 +114,11 @@ def train(examples: list[tuple[Counter, int]], epochs: int = EPOCHS, rate: float
     for counts, label in examples:
         index, weight, total = [], [], max(1, sum(counts.values()))
         for word, n in counts.items():
+            if len(word) > LONG:
+                places, times = long_buckets(word)
+                index.append(places)
+                weight.append((n / total / times.sum() * times).astype(np.float32))
+                continue
             if word not in known:
                 known[word] = np.array(buckets(word), np.int32)
             index.append(known[word])

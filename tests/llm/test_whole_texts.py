@@ -1,6 +1,8 @@
 """Operators see the whole of a text: places that an earlier version skipped."""
 
-from rowgate.llm import decontaminate
+import numpy as np
+
+from rowgate.llm import decontaminate, quality
 
 
 def test_item_behind_a_lead_of_its_own_end():
@@ -9,3 +11,16 @@ def test_item_behind_a_lead_of_its_own_end():
     lead = words[-5:]
     found = matcher.matches(" ".join([*lead, *words, "other", "words"]))
     assert [(p.item_id, errors, end) for p, errors, end in found] == [(1, 0, 35)]
+
+
+def test_quality_learns_from_and_scores_all_of_a_long_word(monkeypatch):
+    rng = np.random.default_rng(6)
+    made = lambda letters: "a" * 64 + "".join(rng.choice(list(letters), 300))
+    examples = [(quality.tokens(made("漢字文章" if i % 2 else "xyzqj")), i % 2) for i in range(200)]
+    score = quality.train(examples).scorer()
+    assert min(score(made("漢字文章")) for _ in range(30)) > max(score(made("xyzqj")) for _ in range(30))
+    text = made("漢字文章xyzqj") + " word"
+    whole, rows = score(text), [sorted(zip(*map(list, quality.long_buckets(text))))]
+    monkeypatch.setattr(quality, "_SLICE", 7)
+    rows.append(sorted(zip(*map(list, quality.long_buckets(text)))))
+    assert rows[0] == rows[1] and score(text) == np.float64(whole) and rows[0] and sum(n for _, n in rows[0]) == 1 + 3 * (len(text) + 2) - 6
