@@ -165,9 +165,10 @@ def links(distinct: DataFrame, bits: int = BITS) -> DataFrame:
             if not len(key):
                 continue
             last = int(np.searchsorted(key, key[-1]))
-            keys.append(key[:last])
-            members.append(fps[:last])
-            if last or (len(keys) > 1 and keys[0][0] != key[-1]):
+            if last:
+                keys.append(key[:last])
+                members.append(fps[:last])
+            if last or (keys and keys[0][0] != key[-1]):
                 yield emit(np.concatenate(keys), np.concatenate(members))
                 keys, members = [], []
             keys.append(key[last:])
