@@ -9,9 +9,10 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 import corpus_pipeline
-from rowgate.llm import decontaminate, lines, merkle, packed_ids, packing, quality, repeats, revisits, secrets, simhash
+from rowgate.llm import decontaminate, lines, manifest, merkle, negatives, packed_ids, packing, quality, repeats, revisits, secrets, simhash, topk
 from rowgate.llm.common import table
 from rowgate.llm.oracles import ORACLES  # noqa: F401
 
@@ -77,6 +78,18 @@ def _op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), path, end_id=0, capacity=2_048)
 
 
+def _op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return manifest.proof_report(table(spark, sf_dir, "documents"))
+
+
+def _op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return negatives.hard_negatives(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
+def _op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_rows(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, 10)
+
+
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontaminate": _op1,
     "op2_packed_ids": _op2,
@@ -88,6 +101,9 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_repeats": _op8,
     "op9_merkle": _op9,
     "op10_packing": _op10,
+    "op11_manifest": _op11,
+    "op12_negatives": _op12,
+    "op13_topk": _op13,
     "pipeline": corpus_pipeline.run,
 }
 

@@ -18,7 +18,7 @@ def test_query_gives_the_rows_of_its_sql(spark, name):
 
 def test_every_operator_is_registered():
     names = {name.split("_")[0] for name in driver.queries()}
-    assert {"pipeline", *(f"op{n}" for n in range(1, 11))} <= names
+    assert {"pipeline", *(f"op{n}" for n in range(1, 14))} <= names
 
 
 def test_pipeline_is_its_stages(spark):
