@@ -42,7 +42,7 @@ def row_digest(*fields: Column) -> Column:
 
 
 def numbered(rows: DataFrame, tree: str, order: list[str]) -> DataFrame:
-    """``rows`` with ``rank``, from 0, among those of their ``tree`` in ``order``; equal rows in any.
+    """``rows`` with ``rank``, from 0, among the ``n`` of their ``tree`` in ``order``; equal rows in any.
 
     Rows are sorted by ranges, and a number for each row tells its range and its place there. A
     tree has one count for each range that it reaches into."""
@@ -51,10 +51,12 @@ def numbered(rows: DataFrame, tree: str, order: list[str]) -> DataFrame:
     sorted_rows = sorted_rows.repartitionByRange(*by).sortWithinPartitions(*by).drop("tie")
     placed = stored(sorted_rows.withColumn("at", F.monotonically_increasing_id()).withColumn("part", F.shiftright("at", 33)), "ranges")
     runs = placed.groupBy("part", tree).agg(F.min("at").alias("first"), F.count("*").alias("n"))
-    before = Window.partitionBy(tree).orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    shifts = runs.select("part", tree, (F.coalesce(F.sum("n").over(before), F.lit(0)) - F.col("first")).alias("shift"))
+    mine = Window.partitionBy(tree)
+    before = mine.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    shift = F.coalesce(F.sum("n").over(before), F.lit(0)) - F.col("first")
+    shifts = stored(runs.select("part", tree, shift.alias("shift"), F.sum("n").over(mine).alias("n")), "shifts")
     ranks = placed.join(shifts, ["part", tree])
-    return ranks.select(*rows.columns, (F.col("at") + F.col("shift")).alias("rank"))
+    return ranks.select(*rows.columns, (F.col("at") + F.col("shift")).alias("rank"), "n")
 
 
 @dataclass(frozen=True)
@@ -71,11 +73,10 @@ class Forest:
 
 
 def grow(leaves: DataFrame) -> Forest:
-    """The trees of ``leaves(tree, rank, digest)``: runs of ``ARITY`` become their digest while a
+    """The trees of ``leaves(tree, rank, n, digest)``: runs of ``ARITY`` become their digest while a
     tree has several nodes. ``n`` is the number of nodes of a tree at a height."""
-    sizes = leaves.groupBy("tree").agg(F.count("*").alias("n"))
-    nodes = leaves.join(sizes, "tree").select("tree", "n", F.col("rank").alias("ordinal"), "digest")
-    most = sizes.agg(F.max("n").alias("most")).first().most or 0
+    nodes = leaves.select("tree", "n", F.col("rank").alias("ordinal"), "digest")
+    most = leaves.agg(F.max("n").alias("most")).first().most or 0
     tops, levels = nodes.where("n = 1"), []
     tops = tops.select("tree", F.lit(0).alias("height"), "digest")
     while most > 1:
@@ -121,7 +122,7 @@ def descend(forest: Forest, starts: DataFrame, requests: DataFrame) -> DataFrame
         kept = [F.col(f"pick.{c}").alias(c) for c in asked] if height == 1 else []
         place = (F.col("ordinal") * ARITY + chosen).alias("ordinal")
         found = met.select("tree", place, F.get("children", chosen).alias("digest"), path.alias("path"), *carried, *kept)
-    alone = requests.join(at(0).drop("ordinal"), "tree")
+    alone = requests.where("rank = 0").join(at(0).drop("ordinal"), "tree")  # the leaves that are trees
     columns = ["tree", "rank", "digest", "path", *carried, *asked]
     if found is None:
         return alone.select(*columns)
@@ -168,10 +169,10 @@ def tree_name(lang: Column) -> Column:
 def build(rows: DataFrame) -> Manifest:
     """The manifest of ``rows(tree, doc_id, digest, ...)``."""
     leaves = stored(numbered(rows, "tree", ["doc_id", "digest"]), "leaves")
-    forest = grow(leaves.select("tree", "rank", "digest"))
+    forest = grow(leaves)
     tops = forest.tops.select(F.lit("").alias("tree"), F.col("tree").alias("branch"), F.col("height").alias("branch_height"), "digest")
     branches = stored(numbered(tops, "tree", ["branch"]), "branches")
-    return Manifest(leaves, forest, grow(branches.select("tree", "rank", "digest")), branches)
+    return Manifest(leaves, forest, grow(branches), branches)
 
 
 def tampered(doc_id: Column) -> Column:
