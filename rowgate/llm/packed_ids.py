@@ -173,8 +173,8 @@ def write_ids(docs: DataFrame, tokenizer: str, end_id: int, vocabulary: int, fol
                 system.create_dir(inside.rpartition("/")[0], recursive=True)
                 out = system.open_output_stream(inside)
                 writer = ShardWriter(out, vocabulary, block)
-            for doc_id, ids in zip(batch.column(0).to_pylist(), encoder.encode(t.as_py() for t in batch.column(1))):
-                writer.add(doc_id, np.append(np.frombuffer(ids, "<u4"), end))
+            for doc_id, ids in zip(batch.column(0).to_pylist(), encoder.encode(batch.column(1))):
+                writer.add(doc_id, np.append(ids, end))
         if writer is not None:
             writer.close()
             out.close()

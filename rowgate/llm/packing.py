@@ -96,8 +96,8 @@ def cut_documents(docs: DataFrame, tokenizer: str, end_id: int, capacity: int) -
         shard = TaskContext.get().partitionId()
         for batch in batches:
             rows = []
-            for doc_id, ids in zip(batch.column(0).to_pylist(), encoder.encode(t.as_py() for t in batch.column(1))):
-                ids += end
+            for doc_id, ids in zip(batch.column(0).to_pylist(), encoder.encode(batch.column(1))):
+                ids = ids.tobytes() + end
                 for piece, (start, length) in enumerate(cut(len(ids) // 4, capacity)):
                     rows.append((doc_id, piece, start, length, zlib.crc32(ids[4 * start : 4 * (start + length)]), shard, seen[length]))
                     seen[length] += 1
