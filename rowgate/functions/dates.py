@@ -32,8 +32,8 @@ class DateRule:
     is ignored; patterns are then limited to numbers and the am/pm marker.
 
     Either way a two-digit year is one of the years from 80 before to 20 after today. A 12-hour
-    field without an am/pm marker is on the 24-hour clock; ``lenient`` takes 12 as 0 there. A weekday may begin a date (not a lenient
-    one); it must be a weekday's English name but need not be the right one.
+    field without an am/pm marker is on the 24-hour clock, but 12 is midnight. A weekday may begin a
+    date (not a lenient one); it must be a weekday's English name but need not be the right one.
     """
 
     pattern: str | None = None
@@ -47,6 +47,8 @@ class DateRule:
             _lenient_layout(self.pattern)
         elif "E" in _letters(_weekday_and_rest(self.pattern)[1]):
             raise ValueError(f"a weekday can only begin a date: {self.pattern!r}")
+        elif _bare_twelve_hours(self.pattern) and _ZONE_LETTERS & _letters(self.pattern):
+            raise ValueError(f"a 12-hour field beside a zone needs an am/pm marker: {self.pattern!r}")
 
     def read(self, cell: Column) -> Column:
         """Timestamp, or null when unreadable. Text of ASCII digits is epoch milliseconds as is."""
@@ -68,6 +70,8 @@ class DateRule:
         written = F.try_to_timestamp(cell, F.lit(pattern)).cast("timestamp")
         if {"y", "yy"} & set(_pattern_parts(rest)):
             written = _near_century(written, "yy" in _pattern_parts(pattern))
+        if _bare_twelve_hours(rest):
+            written = F.when(F.hour(written) == 12, written - F.expr("INTERVAL 12 HOURS")).otherwise(written)
         if self.zone is None or _ZONE_LETTERS & _letters(rest):
             return written
         return F.to_utc_timestamp(written, self.zone)
@@ -82,6 +86,11 @@ def _letters(pattern: str) -> set[str]:
     return {part[0] for part in _pattern_parts(pattern) if part[0].isalpha()}
 
 
+def _bare_twelve_hours(pattern: str) -> bool:
+    """Whether there is a 12-hour field and no am/pm marker."""
+    return "h" in _letters(pattern) and "a" not in _letters(pattern)
+
+
 def _weekday_and_rest(pattern: str) -> tuple[str, str]:
     """The weekday field that begins the pattern, if one does, and what follows it."""
     found = re.match("E*", pattern)[0]
@@ -144,11 +153,19 @@ def _lenient_layout(pattern: str) -> tuple[str, dict[str, int], dict[str, int]]:
 
 
 def _roll_over(cell: Column, pattern: str) -> Column:
-    """The wall-clock time of a cell as a timestamp in UTC: fields are added up, not checked."""
+    """The wall-clock time of a cell as a timestamp in UTC: fields are added up, not checked.
+
+    One replacement takes all fields out of the cell; the lambda gives their array a name, so that
+    no field is sought again where it is used twice."""
     regex, groups, counts = _lenient_layout(pattern)
+    fields = F.split(F.regexp_replace(cell, regex + r"[\s\S]*+\z", "\x01".join(f"${i}" for i in groups.values())), "\x01")
+    found = F.get(F.transform(F.array(fields), lambda f: _added_up(f, groups, counts)), 0)
+    return F.when(cell.rlike(regex), found)
+
 
+def _added_up(fields: Column, groups: dict[str, int], counts: dict[str, int]) -> Column:
     def field(letter: str) -> Column:
-        return F.regexp_extract(cell, regex, groups[letter])
+        return F.get(fields, groups[letter] - 1)
 
     def number(letter: str, default: int = 0) -> Column:
         return field(letter).cast("bigint") if letter in groups else F.lit(default).cast("bigint")
@@ -172,4 +189,4 @@ def _roll_over(cell: Column, pattern: str) -> Column:
         hours += F.when(F.upper(field("a")) == "PM", 12).otherwise(0)
     total = days * _DAY_MILLIS + millis(number("d", 1), _DAY_MILLIS) + millis(hours, 3_600_000)
     total += millis(number("m"), 60_000) + millis(number("s"), 1000) + millis(number("S"), 1)
-    return F.when(cell.rlike(regex), F.when(total <= _LAST_MILLISECOND, F.timestamp_millis(total)))
+    return F.when(total <= _LAST_MILLISECOND, F.timestamp_millis(total))

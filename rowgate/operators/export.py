@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from rowgate.session import rename_files
 from rowgate.spec import TableSpec, ref
 
 
@@ -27,7 +28,8 @@ def write_delimited(
 
     Cells keep every character, line ends and blanks included; an empty string is written as two
     quotes. Rows are joined to lines by column functions and written as text: the CSV writer would
-    change the line feeds inside cells. Without rows there is one file with the header only.
+    change the line feeds inside cells. The files are then named ``.csv``. Without rows there is one
+    file with the header only.
     """
     spark, delimiter = rows.sparkSession, delimiter[0]
     names = TableSpec(rows.schema).header_cells()
@@ -35,12 +37,15 @@ def write_delimited(
     plain = _plain_values(rows, names)
     cells = [F.coalesce(_quoted_cell(ref(f.name), f.dataType, delimiter), F.lit("")) for f in plain.schema]
     written = plain.select(F.concat_ws(delimiter, *cells).alias("line"), F.monotonically_increasing_id().alias("id"))
-    begins_file = F.col("id").bitwiseAND(F.lit((1 << 33) - 1)) == 0  # the lower bits count the rows of a task
+    nth = F.col("id").bitwiseAND(F.lit((1 << 33) - 1))  # the lower bits count the rows of a task
+    most = int(spark.conf.get("spark.sql.files.maxRecordsPerFile"))
+    begins_file = (nth % most if most > 0 else nth) == 0
     lines = written.select(F.when(begins_file, F.concat(F.lit(header + line_end), "line")).otherwise(F.col("line")).alias("value"))
     total = Observation()
     lines.observe(total, F.count("*").alias("n")).write.mode(mode).option("lineSep", line_end).text(path)
     if not total.get["n"]:
         spark.range(1).select(F.lit(header).alias("value")).write.mode("overwrite").option("lineSep", line_end).text(path)
+    rename_files(spark, path, ".txt", ".csv")
 
 
 def _quoted_cell(cell: Column, data_type: T.DataType, delimiter: str) -> Column:

@@ -89,4 +89,6 @@ def load_tagged(
             put_mark(spark, report._mark)
         rows = staged.accepted if skip_errors else staged.accepted_whole_files()
         table.write(rows, load_order(), load_id, update)
+    else:
+        table.settle()
     return report

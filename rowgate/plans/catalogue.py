@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -57,9 +58,8 @@ def _event_key() -> Column:
     return F.regexp_extract("line", "^[0-9]+", 0).cast("bigint").alias("event_id")
 
 
-def _new_table(spark: SparkSession, label: str, spec: str, replicated: bool = False) -> Table:
-    name = f"{label}_{uuid.uuid4().hex}"
-    return declare_table(spark, name, spec, replicated=replicated, folder=new_folder(spark, label))
+def _new_table(spark: SparkSession, label: str, spec: str, **how) -> Table:
+    return declare_table(spark, f"{label}_{uuid.uuid4().hex}", spec, folder=new_folder(spark, label), **how)
 
 
 # Delimited loads
@@ -129,7 +129,7 @@ def load_timestamp_zone(spark, sf_dir):
     written = F.date_format("ts", "dd-MM-yyyy HH:mm:ss")
     folder = delimited(spark, sf_dir, "event-times", "events", ["event_id", written])
     spec = parse_spec("event_id|long|$primary_key,ts|long|timestamp")
-    rows = accepted(tag_lines(read_lines(spark, folder), spec, dates=DateRule("dd-MM-yyyy hh:mm:ss", "America/New_York")))
+    rows = accepted(tag_lines(read_lines(spark, folder), spec, dates=DateRule("dd-MM-yyyy HH:mm:ss", "America/New_York")))
     return rows.select("event_id", _wall_clock("ts"))
 
 
@@ -160,7 +160,7 @@ def load_timestamp_hour_twelve(spark, sf_dir):
     written = F.date_format("ts", "yyyy-MM-dd hh:mm:ss")
     folder = delimited(spark, sf_dir, "events-hours", "events", ["event_id", written])
     spec = parse_spec("event_id|long|$primary_key,ts|long|timestamp")
-    rule = DateRule("yyyy-MM-dd hh:mm:ss", "UTC", lenient=True)
+    rule = DateRule("yyyy-MM-dd hh:mm:ss", "UTC")
     rows = accepted(tag_lines(read_lines(spark, folder), spec, dates=rule))
     return rows.select("event_id", _wall_clock("ts"))
 
@@ -355,7 +355,35 @@ def table_insert_log(spark, sf_dir):
     before, incoming = _stored_and_incoming(spark, sf_dir)
     stored.write(before, F.col("o_orderkey"), "stored")
     stored.write(incoming, F.col("o_orderkey"), "incoming", update=True)
-    return spark.read.schema(stored.spec.schema).option("recursiveFileLookup", True).parquet(stored.log)
+    return stored.inserted().drop("load")
+
+
+_ORDER_PRICES = "o_orderkey|long|$primary_key,o_custkey|long,o_totalprice|double"
+
+
+@query
+def upsert_touched_buckets(spark, sf_dir):
+    """One order in a hundred becomes dearer in a table of 64 buckets, then one order alone."""
+    stored, orders = _new_table(spark, "bucketed", _ORDER_PRICES, buckets=64), _stored_and_incoming(spark, sf_dir)[0]
+    dearer = orders.withColumn("o_totalprice", F.col("o_totalprice") + 1)
+    stored.write(orders, F.col("o_orderkey"), "all")
+    stored.write(dearer.where("o_orderkey % 100 = 1"), F.col("o_orderkey"), "some", update=True)
+    stored.write(dearer.where("o_orderkey = 2"), F.col("o_orderkey"), "one", update=True)
+    return stored.read()
+
+
+@query
+def table_two_writers(spark, sf_dir):
+    """Two loads at the same time: one updates all stored orders and adds some, the other adds more."""
+    stored = _new_table(spark, "shared", _ORDER_PRICES)
+    before, incoming = _stored_and_incoming(spark, sf_dir)
+    stored.write(before, F.col("o_orderkey"), "stored")
+    others = before.withColumn("o_orderkey", F.lit(10_000_000_000) + F.col("o_orderkey"))
+    with ThreadPoolExecutor(2) as pool:
+        loads = [(incoming, "incoming", True), (others, "others", False)]
+        for done in [pool.submit(stored.write, rows, F.col("o_orderkey"), load, update) for rows, load, update in loads]:
+            done.result()
+    return stored.read()
 
 
 @query
@@ -371,8 +399,7 @@ def replicated_lookup(spark, sf_dir):
 
 
 def _loaded_batches(loaded: Table) -> DataFrame:
-    log = loaded.spark.read.schema(loaded.spec.schema.add("load", "string")).parquet(loaded.log)
-    return log.agg(F.count("*").alias("accepted"), F.count_distinct("load").alias("batches"))
+    return loaded.inserted().agg(F.count("*").alias("accepted"), F.count_distinct("load").alias("batches"))
 
 
 @query
@@ -482,12 +509,11 @@ def load_blank_lines(spark, sf_dir):
 
 @query
 def table_retry_after_other_load(spark, sf_dir):
-    """An updating load stops once its new version is written, another load comes, then it is retried."""
+    """An updating load stops once its rows are written, another load comes, then it is retried."""
     stored = _new_table(spark, "retry", "o_orderkey|long|$primary_key,o_custkey|long,o_totalprice|double")
     before, incoming = _stored_and_incoming(spark, sf_dir)
     stored.write(before, F.col("o_orderkey"), "stored")
-    version = f"{stored.folder}/versions/incoming/base"
-    conform(incoming, stored.spec.schema).write.parquet(version)
+    conform(incoming, stored.spec.schema).write.parquet(f"{stored.data}/lost-merged/_b=0")
     others = before.withColumn("o_orderkey", F.lit(10_000_000_000) + F.col("o_orderkey"))
     stored.write(others, F.col("o_orderkey"), "others")
     stored.write(incoming, F.col("o_orderkey"), "incoming", update=True)
@@ -563,6 +589,20 @@ def change_feed_json(spark, sf_dir):
     )
 
 
+@query
+def change_feed_commit_log(spark, sf_dir):
+    """Entry by entry: an insert, an update with new keys, a load of known keys; three triggers."""
+    stored = _new_table(spark, "feed", _ORDER_PRICES)
+    before, incoming = _stored_and_incoming(spark, sf_dir)
+    checkpoint, out = new_folder(spark, "checkpoint"), new_folder(spark, "out")
+    stored.write(before.where("o_orderkey % 2 = 0"), F.col("o_orderkey"), "before")
+    subscribe(stored, checkpoint)
+    for rows, load, update in [(before, "rest", False), (incoming, "incoming", True), (before, "known", False)]:
+        stored.write(rows, F.col("o_orderkey"), load, update)
+        start_json_feed(stored, out, checkpoint).awaitTermination()
+    return spark.read.schema("o_orderkey bigint, o_totalprice double, batch int").json(out)
+
+
 @query
 def change_feed_after_failed_load(spark, sf_dir):
     """A load that stopped after its rows were written, then the same load again: each row once."""
@@ -570,7 +610,7 @@ def change_feed_after_failed_load(spark, sf_dir):
     events = table(spark, sf_dir, "events").withColumn("ts", F.col("ts").cast("timestamp"))
     checkpoint, out = new_folder(spark, "checkpoint"), new_folder(spark, "out")
     subscribe(feed, checkpoint)
-    conform(events, feed.spec.schema).write.parquet(f"{feed.work_folder('load')}/aside")
+    conform(events, feed.spec.schema).write.parquet(f"{feed.data}/lost/_b=0")
     start_delimited_feed(feed, out, checkpoint).awaitTermination()
     for _ in range(2):
         feed.write(events, F.col("event_id"), "load")

@@ -83,6 +83,16 @@ UNION ALL SELECT CASE WHEN event_id % 2 = 0 THEN event_id ELSE -event_id END AS
     "table_insert_log": """
 SELECT o_orderkey, o_custkey, o_totalprice FROM orders
 UNION ALL SELECT -o_orderkey, o_custkey, o_totalprice + 1 FROM orders WHERE o_orderkey % 3 <> 0""",
+    "upsert_touched_buckets": """
+SELECT o_orderkey, o_custkey, CASE WHEN o_orderkey % 100 = 1 OR o_orderkey = 2 THEN o_totalprice + 1 ELSE o_totalprice END AS o_totalprice
+FROM orders""",
+    "table_two_writers": """
+SELECT o_orderkey, o_custkey, CASE WHEN o_orderkey % 3 = 0 THEN o_totalprice + 1 ELSE o_totalprice END AS o_totalprice FROM orders
+UNION ALL SELECT -o_orderkey, o_custkey, o_totalprice + 1 FROM orders WHERE o_orderkey % 3 <> 0
+UNION ALL SELECT 10000000000 + o_orderkey, o_custkey, o_totalprice FROM orders""",
+    "change_feed_commit_log": """
+SELECT o_orderkey, o_totalprice, 1 AS batch FROM orders WHERE o_orderkey % 2 <> 0
+UNION ALL SELECT -o_orderkey, o_totalprice + 1, 2 FROM orders WHERE o_orderkey % 3 <> 0""",
     "replicated_lookup": """
 SELECT n_name, count(*) AS customers FROM customer JOIN nation ON c_nationkey = n_nationkey GROUP BY 1""",
     "stream_batch_cap": f"""

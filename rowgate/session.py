@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
 _LOCAL_FOLDERS: dict[str, str] = {}
@@ -96,12 +97,6 @@ def same_folder(one: str, other: str) -> bool:
     return one.rstrip("/").split(":", 1)[-1].lstrip("/") == other.rstrip("/").split(":", 1)[-1].lstrip("/")
 
 
-def has_files(spark: SparkSession, path: str) -> bool:
-    """Whether there is anything directly below ``path``."""
-    parent, files = _hadoop_path(spark, path)
-    return files.exists(parent) and len(files.listStatus(parent)) > 0
-
-
 def move_folder(spark: SparkSession, source: str, target: str) -> None:
     """Give a folder another place in one step, so that readers see all of it or nothing."""
     old, files = _hadoop_path(spark, source)
@@ -111,6 +106,15 @@ def move_folder(spark: SparkSession, source: str, target: str) -> None:
         raise RuntimeError(f"could not move {source} to {target}")
 
 
+def rename_files(spark: SparkSession, path: str, ending: str, new_ending: str) -> None:
+    """Give the files directly below ``path`` another ending."""
+    folder, files = _hadoop_path(spark, path)
+    for status in files.listStatus(folder):
+        name = status.getPath().getName()
+        if name.endswith(ending) and name[0] not in "._":
+            files.rename(status.getPath(), _hadoop_path(spark, f"{path}/{name.removesuffix(ending)}{new_ending}")[0])
+
+
 def put_mark(spark: SparkSession, path: str) -> None:
     """An empty file as a mark."""
     mark, files = _hadoop_path(spark, path)
@@ -122,6 +126,54 @@ def has_mark(spark: SparkSession, path: str) -> bool:
     return files.exists(mark)
 
 
+def read_text(spark: SparkSession, path: str) -> str | None:
+    """The text of a small file, None if there is none."""
+    found, files = _hadoop_path(spark, path)
+    if not files.exists(found):
+        return None
+    stream = files.open(found)
+    try:
+        return bytes(stream.readAllBytes()).decode()
+    finally:
+        stream.close()
+
+
+def put_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small file, in place of the one that may be there."""
+    target, files = _hadoop_path(spark, path)
+    stream = files.create(target, True)
+    stream.write(bytearray(text.encode()))
+    stream.close()
+
+
+def publish_text(spark: SparkSession, path: str, text: str) -> bool:
+    """Create a small file unless there is one, whole at once; whether it was created.
+
+    The text is written aside and renamed without overwriting, which HDFS does in one step; on local
+    disks the look at the target and the renaming are two."""
+    aside = f"{path}.{uuid.uuid4().hex}"
+    put_text(spark, aside, text)
+    old, files = _hadoop_path(spark, aside)
+    new, _ = _hadoop_path(spark, path)
+    jvm = spark._jvm
+    context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(files.getUri(), spark._jsc.hadoopConfiguration())
+    plain = spark.sparkContext._gateway.new_array(getattr(jvm.org.apache.hadoop.fs, "Options$Rename"), 0)
+    try:
+        context.rename(old, new, plain)
+    except Py4JJavaError as error:
+        files.delete(old, False)
+        if files.exists(new):
+            return False
+        raise error
+    return True
+
+
+def folder_bytes(spark: SparkSession, pattern: str) -> int:
+    """Bytes of all files below the folders that match a pattern."""
+    wanted, files = _hadoop_path(spark, pattern)
+    return sum(files.getContentSummary(status.getPath()).getLength() for status in files.globStatus(wanted) or ())
+
+
 def free_folders(spark: SparkSession) -> list[str]:
     """Delete the working folders this process has made, and return them. Call it when the results
     of list filters, percentiles and loads without a table have been consumed."""

@@ -211,3 +211,30 @@ def test_json_has_null_fields_and_epoch_milliseconds(spark, tmp_path):
     write_json(df, str(tmp_path / "out"))
     found = [f.read_text() for f in (tmp_path / "out").glob("part-*.json")]
     assert found == ['{"k":1,"v":null,"t":1577836800000}\n']
+
+
+def test_every_file_of_an_export_has_the_header(spark, tmp_path):
+    schema = parse_spec("k|int|$primary_key,v|string|nullable").schema
+    spark.conf.set("spark.sql.files.maxRecordsPerFile", "2")
+    try:
+        write_delimited(spark.createDataFrame([(i, "x") for i in range(7)], schema).coalesce(1), str(tmp_path / "out"))
+    finally:
+        spark.conf.unset("spark.sql.files.maxRecordsPerFile")
+    files = sorted(f for f in (tmp_path / "out").iterdir() if f.name[0] not in "._")
+    assert [f.suffix for f in files] == [".csv"] * 4
+    assert [len(f.read_bytes().split(b"\r\n")) for f in files] == [4, 4, 4, 3]
+    assert {f.read_bytes().split(b"\r\n")[0] for f in files} == {b"k|int|primary_key\tv|string|nullable"}
+
+
+def test_a_feed_reads_on_from_its_entry(spark, put, table, tmp_path):
+    """Timestamps and nulls come through, and offsets are numbers of entries."""
+    stamped = declare_table(spark, "t" + uuid.uuid4().hex, "k|int|$primary_key,t|long|timestamp|nullable")
+    checkpoint, out = str(tmp_path / "checkpoint"), tmp_path / "out"
+    assert subscribe(stamped, checkpoint) == subscribe(stamped, checkpoint) == 0
+    for i, cells in enumerate(["1,1577836800000\n2,\n", "2,5\n", "3,-1\n4,9999999999999\n"]):
+        load_files(spark, put("k,t\n" + cells, folder=f"in{i}"), stamped)
+        query = start_json_feed(stamped, str(out), checkpoint)
+        query.awaitTermination()
+    lines = sorted(line for f in out.glob("batch=*/part-*.json") for line in f.read_text().splitlines())
+    assert lines == ['{"k":1,"t":1577836800000}', '{"k":2,"t":null}', '{"k":4,"t":9999999999999}']
+    assert query.recentProgress[-1]["sources"][0]["endOffset"] == "{'commit': 3}"

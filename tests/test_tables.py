@@ -78,22 +78,27 @@ def test_insert_ignore_and_replay(spark, put, name):
     assert rows(table) == [(1, "a"), (2, "b"), (3, "y")]
 
 
+def inserted(table):
+    return sorted(tuple(r)[1:] for r in table.inserted().select("load", *table.spec.names).collect())
+
+
 def test_update_keeps_last_and_logs_inserts_only(spark, put, name):
     table = declare_table(spark, name, KEYED)
     load_files(spark, put("k,v\n1,a\n2,b\n", folder="one"), table)
     load_files(spark, put("k,v\n2,x\n3,y\n2,z\n", folder="two"), table, update=True, load_id="two")
     assert rows(table) == [(1, "a"), (2, "z"), (3, "y")]
-    assert table.location.endswith("/versions/two")
     load_files(spark, put("k,v\n3,n\n4,w\n", folder="three"), table)
     assert rows(table) == [(1, "a"), (2, "z"), (3, "y"), (4, "w")]
     load_files(spark, put("k,v\n2,x\n", folder="two"), table, update=True, load_id="two")
     assert rows(table) == [(1, "a"), (2, "z"), (3, "y"), (4, "w")]
-    log = spark.read.option("recursiveFileLookup", True).parquet(table.log)
-    assert sorted(map(tuple, log.collect())) == [(1, "a"), (2, "b"), (3, "y"), (4, "w")]
+    assert inserted(table) == [(1, "a"), (2, "b"), (3, "y"), (4, "w")]
+
+
+STEPS = [(tables, "_write_once"), (tables, "move_folder"), (tables.Table, "_write"), (tables.commits, "add"), (tables.Table, "settle")]
 
 
 def stop_after(monkeypatch, steps):
-    """Let the next load fail once it has written or moved that many folders."""
+    """Let the next load fail once that many folders, entries or pointers were written or moved."""
     done = []
 
     def counted(real):
@@ -105,78 +110,149 @@ def stop_after(monkeypatch, steps):
 
         return step
 
-    for name in ("_write_once", "move_folder"):
-        monkeypatch.setattr(tables, name, counted(getattr(tables, name)))
+    for owner, step in STEPS:
+        monkeypatch.setattr(owner, step, counted(getattr(owner, step)))
 
 
-def test_update_that_fails_on_the_way_changes_nothing_and_resumes(spark, put, name, monkeypatch):
-    table = declare_table(spark, name, KEYED)
-    load_files(spark, put("k,v\n1,a\n", folder="one"), table)
-    two = put("k,v\n1,x\n2,y\n", folder="two")
-    for stop, expected in [(2, [(1, "a")]), (3, [(1, "x"), (2, "y")])]:
-        stop_after(monkeypatch, stop)
-        with pytest.raises(RuntimeError):
-            load_files(spark, two, table, update=True, load_id="two")
-        spark.catalog.refreshTable(name)
-        assert rows(table) == expected
+def interrupted(monkeypatch, stop, load):
+    stop_after(monkeypatch, stop)
+    try:
+        load()
+        return False
+    except RuntimeError:
+        return True
+    finally:
         monkeypatch.undo()
-    load_files(spark, two, table, update=True, load_id="two")
-    assert rows(table) == [(1, "x"), (2, "y")]
-    log = spark.read.option("recursiveFileLookup", True).parquet(table.log)
-    assert sorted(map(tuple, log.collect())) == [(1, "a"), (2, "y")]
-
-
-@pytest.mark.parametrize("stop", [0, 1, 2, 3])
-@pytest.mark.parametrize("update_between", [False, True])
-def test_update_repeated_after_another_load(spark, put, name, monkeypatch, stop, update_between):
-    """Interrupted after any step: the rows of the load in between stay, each key is logged once."""
-    if stop == 3 and update_between:
-        pytest.skip("a load that moved the table is finished before the next update")
-    table = declare_table(spark, name, KEYED)
+
+
+@pytest.mark.parametrize("stop", range(8))
+@pytest.mark.parametrize("update_between", [None, True])
+def test_update_repeated_after_any_step(spark, put, name, monkeypatch, stop, update_between):
+    """With and without another load in between: no row is lost or doubled, each key is logged once."""
+    table = declare_table(spark, name, KEYED, buckets=2)
     load_files(spark, put("k,v\n1,a\n", folder="one"), table)
     two = put("k,v\n1,x\n2,y\n", folder="two")
-    stop_after(monkeypatch, stop)
-    with pytest.raises(RuntimeError):
+    assert interrupted(monkeypatch, stop, lambda: load_files(spark, two, table, update=True, load_id="two")) == (stop < 7)
+    committed = table.holds_load("two")
+    assert committed == (stop >= 6)
+    assert rows(tables.open_table(spark, name)) == ([(1, "x"), (2, "y")] if committed else [(1, "a")])
+    if update_between is not None:
+        load_files(spark, put("k,v\n2,between\n5,b\n", folder="three"), table, update=update_between)
+    for _ in range(2):
         load_files(spark, two, table, update=True, load_id="two")
-    monkeypatch.undo()
-    load_files(spark, put("k,v\n2,between\n5,b\n", folder="three"), table, update=update_between)
-    load_files(spark, two, table, update=True, load_id="two")
-    load_files(spark, two, table, update=True, load_id="two")
-    assert rows(table) == [(1, "x"), (2, "y"), (5, "b")]
-    log = spark.read.schema(table.spec.schema).option("recursiveFileLookup", True).parquet(table.log)
-    assert sorted(r.k for r in log.collect()) == [1, 2, 5]
+    second = "between" if update_between and committed else "y"
+    assert rows(table) == [(1, "x"), (2, second)] + ([(5, "b")] if update_between is not None else [])
+    assert [k for k, _ in inserted(table)] == [k for k, _ in rows(table)]
 
 
-@pytest.mark.parametrize("stop", [None, 0, 1, 2, 3])
-def test_update_with_new_keys_only_makes_no_version(spark, put, name, monkeypatch, stop):
-    """Also when it is interrupted after any step, and when the table has moved to a version before."""
-    table = declare_table(spark, name, KEYED)
+@pytest.mark.parametrize("stop", range(6))
+def test_insert_repeated_after_an_update(spark, put, name, monkeypatch, stop):
+    """The inserted row is in the table and in the log, whatever came between."""
+    table = declare_table(spark, name, KEYED, buckets=2)
     load_files(spark, put("k,v\n1,a\n", folder="one"), table)
     load_files(spark, put("k,v\n1,b\n", folder="two"), table, update=True)
-    moved, three = table.location, put("k,v\n2,c\n3,d\n", folder="three")
-    if stop is not None:
-        stop_after(monkeypatch, stop)
-        with pytest.raises(RuntimeError):
-            load_files(spark, three, table, update=True, load_id="three")
-        monkeypatch.undo()
-    load_files(spark, three, table, update=True, load_id="three")
-    assert table.location == moved
-    assert rows(table) == [(1, "b"), (2, "c"), (3, "d")]
-    log = spark.read.schema(table.spec.schema).option("recursiveFileLookup", True).parquet(table.log)
-    assert sorted(map(tuple, log.collect())) == [(1, "a"), (2, "c"), (3, "d")]
-
-
-def test_old_versions_are_dropped_on_request(spark, put, name):
-    table = declare_table(spark, name, KEYED)
-    for i in range(3):
-        load_files(spark, put(f"k,v\n1,a{i}\n{i + 2},b\n", folder=f"in{i}"), table, update=True, load_id=f"l{i}")
-    assert not table.location.endswith("/log")
-    dropped = sorted(path.split(table.folder.split(":")[-1])[-1] for path in table.drop_old_data())
-    assert dropped == ["/versions/l1", "/work/load=l0", "/work/load=l1", "/work/load=l2"]
-    assert rows(table) == [(1, "a2"), (2, "b"), (3, "b"), (4, "b")]
-    load_files(spark, put("k,v\n1,late\n", folder="in1"), table, update=True, load_id="l1")
-    assert rows(table) == [(1, "a2"), (2, "b"), (3, "b"), (4, "b")]
-    assert table.drop_old_data() == ["file:" + table.folder.split(":")[-1] + "/work/load=l1"]
+    five = put("k,v\n5,e\n", folder="five")
+    interrupted(monkeypatch, stop, lambda: load_files(spark, five, table, load_id="five"))
+    load_files(spark, put("k,v\n1,c\n", folder="three"), table, update=True)
+    load_files(spark, five, table, load_id="five")
+    assert rows(table) == [(1, "c"), (5, "e")]
+    assert inserted(table) == [(1, "a"), (5, "e")]
+
+
+@pytest.mark.parametrize("stop", range(4))
+def test_keyless_load_repeated_after_any_step(spark, put, name, monkeypatch, stop):
+    bag = declare_table(spark, name, "k|int,v|string")
+    one = put("k,v\n1,a\n1,a\n", folder="one")
+    interrupted(monkeypatch, stop, lambda: load_files(spark, one, bag, load_id="one"))
+    for _ in range(2):
+        load_files(spark, one, bag, load_id="one")
+    assert rows(bag) == inserted(bag) == [(1, "a")] * 2
+
+
+def files_of(table):
+    return {f for f in table.read().inputFiles() if "/none/" not in f}
+
+
+def test_update_of_one_row_rewrites_one_bucket(spark, name):
+    table = declare_table(spark, name, "k|long|$primary_key,v|long", buckets=64)
+    table.write(spark.range(5000).select(F.col("id").alias("k"), F.col("id").alias("v")), F.col("k"), "all")
+    before = files_of(table)
+    assert len(before) >= 64
+    table.write(spark.createDataFrame([(77, -1)], "k long, v long"), F.col("k"), "one", update=True)
+    after = files_of(table)
+    assert 1 <= len(after - before) <= 2 and len(before - after) >= 1  # what stays of the bucket, and the row
+    assert {f.rsplit("/_b=", 1)[1].split("/")[0] for f in before - after} == {f.rsplit("/_b=", 1)[1].split("/")[0] for f in after - before}
+    assert table.read().where("v = -1").count() == 1 and table.read().count() == 5000
+    table.write(spark.createDataFrame([(6000, 1)], "k long, v long"), F.col("k"), "new", update=True)
+    assert after < files_of(table) and len(files_of(table)) == len(after) + 1
+    dropped = table.drop_old_data()
+    assert not [d for d in dropped if "/data/" in d]  # what "all" inserted is the log of the feeds
+    table.write(spark.createDataFrame([(77, -2)], "k long, v long"), F.col("k"), "again", update=True)
+    assert len([d for d in table.drop_old_data() if "-merged" in d]) == 1
+    assert table.read().where("k = 77").first().v == -2 and table.read().count() == 5001
+
+
+def test_buckets_of_many_folders_are_merged(spark, name, monkeypatch):
+    monkeypatch.setattr(tables, "SEGMENTS", 3)
+    table = declare_table(spark, name, "k|long|$primary_key,v|long", buckets=2)
+    for i in range(9):
+        table.write(spark.range(8).select((F.col("id") + 4 * i).alias("k"), F.lit(i).cast("long").alias("v")), F.col("k"), f"l{i}")
+        assert all(len(names) <= 3 for names in tables.commits.last(spark, table.folder)["live"].values())
+    assert rows(table) == inserted(table) == [(k, max(0, k // 4 - 1)) for k in range(40)]
+    table.drop_old_data()
+    assert rows(table) == inserted(table)
+
+
+def interleave(monkeypatch, owner, step, other):
+    """Run another load right before the first call of a step."""
+    real, ran = getattr(owner, step), []
+
+    def first(*args):
+        if not ran:
+            ran.append(True)
+            other()
+        return real(*args)
+
+    monkeypatch.setattr(owner, step, first)
+
+
+@pytest.mark.parametrize("owner,step", STEPS)
+@pytest.mark.parametrize("update,other_update", [(True, True), (False, True), (True, False)])
+def test_two_writers(spark, put, name, monkeypatch, owner, step, update, other_update):
+    """A load commits in between at any step of another: the result is that of one after the other."""
+    table = declare_table(spark, name, KEYED, buckets=2)
+    load_files(spark, put("k,v\n" + "".join(f"{i},a\n" for i in range(6)), folder="old"), table)
+    mine, theirs = put("k,v\n2,mine\n8,mine\n", folder="mine"), put("k,v\n2,other\n3,other\n8,other\n9,other\n", folder="other")
+
+    def other():
+        if not table.holds_load("other"):
+            load_files(spark, theirs, tables.open_table(spark, name), update=other_update, load_id="other")
+
+    interleave(monkeypatch, owner, step, other)
+    load_files(spark, mine, table, update=update, load_id="mine")
+    monkeypatch.undo()
+    at = {e["load"]: e["number"] for e in tables.commits.between(spark, table.folder, 0, 3)}
+    expected = {i: "a" for i in range(6)}
+    for load, keys, updates in sorted([("mine", (2, 8), update), ("other", (2, 3, 8, 9), other_update)], key=lambda x: at[x[0]]):
+        expected.update({k: load for k in keys if updates or k not in expected})
+    assert dict(rows(table)) == expected and len(rows(table)) == len(expected)
+    assert [k for k, _ in inserted(table)] == sorted(expected)
+
+
+def test_writers_of_other_buckets_do_not_start_anew(spark, name, monkeypatch):
+    table = declare_table(spark, name, "k|long|$primary_key,v|long", buckets=16)
+    ids = table._bucketed(spark.range(100).select(F.col("id").alias("k"))).collect()
+    one, two = ids[0], next(r for r in ids if r._b != ids[0]._b)
+
+    def write(row, load):
+        table.write(spark.createDataFrame([(row.k, 1)], "k long, v long"), F.col("k"), load, update=True)
+
+    prepared = []
+    real = tables.Table._prepared
+    monkeypatch.setattr(tables.Table, "_prepared", lambda *args: prepared.append(args[4]) or real(*args))
+    interleave(monkeypatch, tables.commits, "add", lambda: write(two, "two"))
+    write(one, "one")
+    assert sorted(prepared) == ["one", "two"] and rows(table) == sorted([(one.k, 1), (two.k, 1)])
 
 
 def test_composite_key_and_keyless(spark, put, name):
