@@ -1,4 +1,4 @@
-"""Operators see the whole of a text: places that an earlier version skipped."""
+"""Texts without blanks and very long texts are read to their end."""
 
 import numpy as np
 
@@ -13,14 +13,47 @@ def test_item_behind_a_lead_of_its_own_end():
     assert [(p.item_id, errors, end) for p, errors, end in found] == [(1, 0, 35)]
 
 
-def test_quality_learns_from_and_scores_all_of_a_long_word(monkeypatch):
-    rng = np.random.default_rng(6)
-    made = lambda letters: "a" * 64 + "".join(rng.choice(list(letters), 300))
-    examples = [(quality.tokens(made("漢字文章" if i % 2 else "xyzqj")), i % 2) for i in range(200)]
-    score = quality.train(examples).scorer()
-    assert min(score(made("漢字文章")) for _ in range(30)) > max(score(made("xyzqj")) for _ in range(30))
-    text = made("漢字文章xyzqj") + " word"
-    whole, rows = score(text), [sorted(zip(*map(list, quality.long_buckets(text))))]
-    monkeypatch.setattr(quality, "_SLICE", 7)
-    rows.append(sorted(zip(*map(list, quality.long_buckets(text)))))
-    assert rows[0] == rows[1] and score(text) == np.float64(whole) and rows[0] and sum(n for _, n in rows[0]) == 1 + 3 * (len(text) + 2) - 6
+def test_long_words_are_scored_to_their_end():
+    """Runs of 364 characters that differ behind the first 64 only."""
+    rng = np.random.default_rng(1)
+
+    def made(letters):
+        return ("a" * 64 + "".join(rng.choice(list(letters), 300))).encode()
+
+    examples = [(*quality.document(made("漢字文章" if i % 2 else "xyzqj")), i % 2) for i in range(200)]
+    model = quality.train(examples)
+    good, bad = ([made(letters) for _ in range(50)] for letters in ("漢字文章", "xyzqj"))
+    assert model.scores(good).min() > 0.7 > 0.5 > model.scores(bad).max()
+
+
+def test_features_are_those_counted_one_by_one():
+    """Words, n-grams of bytes with a blank around each word, and pairs, without arrays."""
+    text = b"ab  c\nab c dd\t"
+    words = text.split()
+    per_word = []
+    for word in words:
+        padded = b" " + word + b" "
+        grams = [padded[i : i + n] for n in quality.GRAMS for i in range(len(padded) - n + 1)]
+        per_word.append(1 + sum(1 for g in grams if b" " not in g[1:-1] and g.strip()))
+    items = quality.Items([b"", text, b" \n", b"x"])
+    assert items.n_items.tolist() == [0, len(words) + len(words) - 1, 0, 1]
+    assert np.bincount(items.item)[: len(words)].tolist() == per_word
+    one, again = quality.Items([text]), quality.Items([b"x y z", text])
+    mine = again.text[again.item] == 1
+    assert sorted(one.buckets.tolist()) == sorted(again.buckets[mine].tolist())
+    places, weights = quality.document(text)
+    assert abs(weights.sum() - 1) < 1e-6 and len(quality.document(b"")[0]) == 0
+
+
+def test_order_of_words_matters_and_slices_lose_no_word(monkeypatch):
+    assert quality.document(b"a b c")[0].tolist() != quality.document(b"c b a")[0].tolist()
+    text = b" ".join(f"w{i % 50}".encode() for i in range(4000)) + b"x" * 3000
+    whole = quality.Items([text])
+    monkeypatch.setattr(quality, "BATCH_BYTES", 1000)
+    parts = [quality.Items([p]) for p in quality.slices(text)]
+    assert b"".join(quality.slices(text)) == text and all(len(p) <= 1000 for p in quality.slices(text))
+    words = len(text.split())
+    assert whole.n_items[0] == 2 * words - 1
+    assert sum(int(p.n_items[0]) for p in parts) >= 2 * words - 1 - len(parts)
+    model = quality.Model(np.random.default_rng(0).normal(0, 1, quality.BUCKETS).astype(np.float32), 0.1)
+    assert np.allclose(model.scores([b"q", text, b"w1 w2"])[[0, 2]], model.scores([b"q", b"w1 w2"]))
