@@ -1,26 +1,26 @@
 """Quality classifier with supervised subword embeddings.
 
-A word is the mean of learned vectors for itself and its character n-grams, hashed into ``BUCKETS``
-rows, each n-gram once. In words of over ``LONG`` characters, as texts without blanks have them, an
-n-gram counts as often as it stands there; they are counted slice by slice. A word that repeats the
-one before it adds a marker, the one word 2-gram that is kept. A document is the mean of its words,
-and a softmax over two classes gives its score. The vectors are trained by stochastic gradient
-descent in numpy on at most ``TRAIN_DOCS`` labelled documents, those whose ids hash lowest; every
-document is scored on its whole text.
-
-The class scores are linear in the mean, so scoring needs one number per word, kept for up to
-``_KEPT`` words that are not long. Null and empty texts get the score of the bias alone. Where a
-document has several labels the lowest counts; without any labels every score is one half. Repeated
-rows are scored one by one; an empty table gives no rows.
+A word is the mean of learned vectors for itself and each of its character n-grams, taken over bytes
+with a blank before and after the word. The items of a document are its words and its pairs of words
+in a row, which have vectors of their own; all are hashed into ``BUCKETS`` rows. A word that follows
+itself is one more item, whatever the word. A document is the
+mean of its items, and a softmax over two classes gives its score. The vectors are trained by
+stochastic gradient descent in numpy on at most ``TRAIN_DOCS`` labelled documents, those whose ids
+hash lowest; what is gathered of one is at most a number for each bucket. Every document is scored on
+its whole text.
+
+The class scores are linear in the mean, so scoring needs one number per bucket. Bytes of some texts
+at a time are hashed as arrays, with no look-up per word, and memory is bounded by ``BATCH_BYTES``: a
+longer text is cut at blanks, or within a longer run of other bytes, and nothing else is lost there
+than the pair of words or the n-grams across the cut. Null and empty texts get the score of the bias alone. Where a document has several
+labels the lowest counts; without any labels every score is one half. Repeated rows are scored one by
+one; an empty table gives no rows.
 """
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
-from operator import eq
-from zlib import crc32
 
 import numpy as np
 import pandas as pd
@@ -28,42 +28,91 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-BUCKETS, DIMENSIONS, GRAMS = 1 << 18, 8, (2, 4)
+BUCKETS, DIMENSIONS, GRAMS = 1 << 18, 8, (2, 3, 4)
 TRAIN_DOCS, EPOCHS, RATE = 1_500, 6, 2.0
 ACCEPTED = 0.7
 HELD_OUT = 2
-_REPEAT = "\0repeat"
-_KEPT = 400_000
-LONG, _SLICE = 64, 1 << 16
-
-
-def buckets(word: str) -> list[int]:
-    """The rows of a word that is not long: the word itself and its character n-grams."""
-    if word == _REPEAT:
-        return [crc32(word.encode()) % BUCKETS]
-    marked = f"<{word}>"
-    grams = {marked[i : i + n] for n in range(GRAMS[0], GRAMS[1] + 1) for i in range(len(marked) - n + 1)}
-    return [crc32(word.encode()) % BUCKETS, *(crc32(b"\1" + g.encode()) % BUCKETS for g in sorted(grams))]
-
-
-def long_buckets(word: str) -> tuple[np.ndarray, np.ndarray]:
-    """The rows of a long word, and how often each counts."""
-    marked, found = f"<{word}>", Counter([crc32(word.encode()) % BUCKETS])
-    for n in range(GRAMS[0], GRAMS[1] + 1):
-        for at in range(0, len(marked) - n + 1, _SLICE):
-            part = marked[at : at + _SLICE + n - 1]
-            for gram, times in Counter(map("".join, zip(*(part[i:] for i in range(n))))).items():
-                found[crc32(b"\1" + gram.encode()) % BUCKETS] += times
-    return np.array(list(found), np.int32), np.array(list(found.values()), np.int64)
-
-
-def tokens(text: str) -> Counter:
-    """The words of a text with their numbers, and how often a word follows itself."""
-    words = text.split()
-    found = Counter(words)
-    if repeats := sum(map(eq, words, words[1:])):
-        found[_REPEAT] = repeats
-    return found
+BATCH_BYTES = 500_000
+_STEP, _BACK = 0x9E3779B97F4A7C15, pow(0x9E3779B97F4A7C15, -1, 1 << 64)  # an odd number and its inverse
+_POWERS: dict[int, np.ndarray] = {}
+
+
+def _powers(base: int, n: int) -> np.ndarray:
+    """``base ** i`` for i below n, modulo 2**64."""
+    if len(_POWERS.get(base, ())) < n:
+        found = np.full(n, base, np.uint64)
+        found[0] = 1
+        _POWERS[base] = np.multiply.accumulate(found)
+    return _POWERS[base][:n]
+
+
+def _mixed(values: np.ndarray, seed: int) -> np.ndarray:
+    """Hashes as buckets."""
+    values = (values + np.uint64(seed)) * np.uint64(_STEP)
+    return ((values ^ (values >> np.uint64(29))) * np.uint64(_STEP) >> np.uint64(40)).astype(np.int64) % BUCKETS
+
+
+class Items:
+    """The items of some texts: ``buckets`` of all features, each of the item numbered in ``item``,
+    ``text`` of each item, and ``shares``, the weight of a feature in its item."""
+
+    def __init__(self, texts: list[bytes]):
+        joined = np.frombuffer(b" " + b" ".join(texts) + b" ", np.uint8)
+        data = np.where((joined >= 9) & (joined <= 13), np.uint8(32), joined)
+        lengths = np.fromiter(map(len, texts), np.int64, len(texts))
+        ends_of_texts = np.cumsum(lengths + 1)
+        blank = data == 32
+        starts = np.flatnonzero(~blank[1:] & blank[:-1]) + 1
+        ends = np.flatnonzero(blank[1:] & ~blank[:-1]) + 1
+        wide, sums = data.astype(np.uint64), np.zeros(len(data) + 1, np.uint64)
+        np.cumsum(wide * _powers(_STEP, len(data)), out=sums[1:])
+        words = (sums[ends] - sums[starts]) * _powers(_BACK, len(data))[starts]
+        of_word = np.searchsorted(ends_of_texts, starts, "right")
+        buckets, items = [_mixed(words, 1)], [np.arange(len(words))]
+        inside = np.cumsum(blank)  # words are told apart by the blanks before them
+        place = np.zeros(inside[-1] + 1 if len(inside) else 1, np.int64)
+        place[inside[starts]] = np.arange(len(starts))
+        gram = wide
+        for n in GRAMS:  # windows with blanks at their ends at most, and a byte of a word
+            gram = gram[: len(data) - n + 1] * np.uint64(257) + wide[n - 1 :] if n > 2 else wide[:-1] * np.uint64(257) + wide[1:]
+            first, last = np.arange(len(gram)), np.arange(n - 1, len(data))
+            held = inside[last - 1] - inside[first] == 0
+            held &= ~(blank[first] & blank[last]) if n == 2 else ~blank[1 : 1 + len(gram)]
+            at = np.flatnonzero(held)
+            buckets.append(_mixed(gram[at], n))
+            items.append(place[inside[at]])
+        counts = np.bincount(np.concatenate(items), minlength=len(words)).astype(np.float64)
+        pairs = np.flatnonzero(of_word[1:] == of_word[:-1])
+        buckets.append(_mixed(words[pairs] * np.uint64(_STEP) + words[pairs + 1], 9))
+        items.append(len(words) + np.arange(len(pairs)))
+        again = pairs[words[pairs] == words[pairs + 1]]
+        buckets.append(np.zeros(len(again), np.int64))
+        items.append(len(words) + len(pairs) + np.arange(len(again)))
+        self.buckets, self.item = np.concatenate(buckets), np.concatenate(items)
+        self.text = np.concatenate([of_word, of_word[pairs], of_word[again]])
+        self.shares = 1 / np.append(counts, np.ones(len(pairs) + len(again)))
+        self.n_items = np.bincount(self.text, minlength=len(texts))
+
+
+def slices(text: bytes) -> Iterator[bytes]:
+    at = 0
+    while len(text) - at > BATCH_BYTES:
+        cut = text.rfind(b" ", at, at + BATCH_BYTES)
+        cut = cut if cut > at else at + BATCH_BYTES
+        yield text[at:cut]
+        at = cut
+    yield text[at:]
+
+
+def document(text: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """The buckets of a text and their weights, which add up to one."""
+    total, n = np.zeros(BUCKETS), 0
+    for part in slices(text):
+        items = Items([part])
+        total += np.bincount(items.buckets, items.shares[items.item], BUCKETS)
+        n += int(items.n_items[0])
+    places = np.flatnonzero(total)
+    return places, (total[places] / max(1, n)).astype(np.float32)
 
 
 @dataclass(frozen=True)
@@ -73,66 +122,35 @@ class Model:
     weights: np.ndarray
     bias: float
 
-    def scorer(self):
-        """A function from texts to scores."""
-        weights, bias, known = self.weights.tolist(), self.bias, {}
-
-        def word_score(word: str) -> float:
-            if len(word) > LONG:
-                rows, times = long_buckets(word)
-                return float(self.weights[rows].astype(float) @ times / times.sum())
-            rows = buckets(word)
-            return sum(map(weights.__getitem__, rows)) / len(rows)
-
-        repeat = word_score(_REPEAT)
-
-        def score(text: str) -> float:
-            words = text.split()
-            if len(known) > _KEPT:
-                known.clear()
-            once = {}
-            for word in set(words).difference(known):
-                (known if len(word) <= LONG else once)[word] = word_score(word)
-            repeats = sum(map(eq, words, words[1:]))
-            if once:
-                total = sum(once[w] if w in once else known[w] for w in words) + repeats * repeat
-            else:
-                total = sum(map(known.__getitem__, words)) + repeats * repeat
-            odds = bias + total / max(1, len(words) + repeats)
-            return float(1 / (1 + np.exp(-np.clip(odds, -60, 60))))
-
-        return score
-
-
-def train(examples: list[tuple[Counter, int]], epochs: int = EPOCHS, rate: float = RATE, seed: int = 7) -> Model:
-    """Stochastic gradient descent, one document a step, with a falling rate."""
+    def scores(self, texts: list[bytes]) -> np.ndarray:
+        total, n = np.zeros(len(texts)), np.zeros(len(texts))
+        parts = [(i, part) for i, text in enumerate(texts) for part in slices(text)]
+        at = 0
+        while at < len(parts):
+            end, size = at, 0
+            while end < len(parts) and (end == at or size + len(parts[end][1]) <= BATCH_BYTES):
+                size += len(parts[end][1])
+                end += 1
+            items, owners = Items([part for _, part in parts[at:end]]), [i for i, _ in parts[at:end]]
+            sums = np.bincount(items.text[items.item], self.weights[items.buckets] * items.shares[items.item], end - at)
+            np.add.at(total, owners, sums)
+            np.add.at(n, owners, items.n_items)
+            at = end
+        odds = self.bias + total / np.maximum(1, n)
+        return 1 / (1 + np.exp(-np.clip(odds, -60, 60)))
+
+
+def train(examples: list[tuple[np.ndarray, np.ndarray, int]], epochs: int = EPOCHS, rate: float = RATE, seed: int = 7) -> Model:
+    """Stochastic gradient descent over (buckets, weights, label), one document a step, with a falling rate."""
     rng = np.random.default_rng(seed)
     if not examples:
         return Model(np.zeros(BUCKETS, np.float32), 0.0)
-    known: dict[str, np.ndarray] = {}
-    rows = []
-    for counts, label in examples:
-        index, weight, total = [], [], max(1, sum(counts.values()))
-        for word, n in counts.items():
-            if len(word) > LONG:
-                places, times = long_buckets(word)
-                index.append(places)
-                weight.append((n / total / times.sum() * times).astype(np.float32))
-                continue
-            if word not in known:
-                known[word] = np.array(buckets(word), np.int32)
-            index.append(known[word])
-            weight.append(np.full(len(known[word]), n / total / len(known[word]), np.float32))
-        index = np.concatenate(index) if index else np.zeros(0, np.int32)
-        weight = np.concatenate(weight) if weight else np.zeros(0, np.float32)
-        places, inverse = np.unique(index, return_inverse=True)
-        rows.append((places, np.bincount(inverse, weight, len(places)).astype(np.float32), label))
     vectors = rng.uniform(-1, 1, (BUCKETS, DIMENSIONS)).astype(np.float32) / DIMENSIONS
     output, bias = np.zeros((DIMENSIONS, 2), np.float32), np.zeros(2, np.float32)
-    step, steps = 0, epochs * len(rows)
+    step, steps = 0, epochs * len(examples)
     for _ in range(epochs):
-        for i in rng.permutation(len(rows)):
-            index, weight, label = rows[i]
+        for i in rng.permutation(len(examples)):
+            index, weight, label = examples[i]
             hidden = weight @ vectors[index]
             odds = hidden @ output + bias
             error = np.exp(odds - odds.max())
@@ -162,20 +180,20 @@ def fit(docs: DataFrame, labels: DataFrame, limit: int = TRAIN_DOCS) -> Model:
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [tokens(t.as_py()) for t in batch.column(1)]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column(0),
-                    pa.array([list(c) for c in found], pa.list_(pa.string())),
-                    pa.array([list(c.values()) for c in found], pa.list_(pa.int32())),
-                    batch.column(2),
-                ],
-                names=["doc_id", "words", "counts", "label"],
-            )
-
-    counted = texts.mapInArrow(count, "doc_id long, words array<string>, counts array<int>, label int").collect()
-    counted.sort(key=lambda r: (r.doc_id, r.words))
-    return train([(Counter(dict(zip(r.words, r.counts))), r.label) for r in counted])
+            found = [document(t.as_py().encode()) for t in batch.column(1)]
+            arrays = [
+                batch.column(0),
+                pa.array([b.astype(np.int32) for b, _ in found], pa.list_(pa.int32())),
+                pa.array([w for _, w in found], pa.list_(pa.float32())),
+                batch.column(2),
+            ]
+            yield pa.RecordBatch.from_arrays(arrays, names=["doc_id", "buckets", "weights", "label"])
+
+    counted = texts.mapInArrow(count, "doc_id long, buckets array<int>, weights array<float>, label int").toArrow()
+    rows = zip(*(counted.column(c) for c in ("doc_id", "buckets", "weights", "label")))
+    examples = [(i.as_py(), b.values.to_numpy(), w.values.to_numpy(), label.as_py()) for i, b, w, label in rows]
+    examples.sort(key=lambda x: (x[0], len(x[1]), x[1].tobytes()))
+    return train([x[1:] for x in examples])
 
 
 def score_column(model: Model, text: str = "text") -> Column:
@@ -183,9 +201,8 @@ def score_column(model: Model, text: str = "text") -> Column:
 
     @F.pandas_udf("double")
     def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        scorer = shipped.scorer()
         for texts in batches:
-            yield pd.Series([scorer(t) for t in texts], dtype=float)
+            yield pd.Series(shipped.scores([t.encode() for t in texts]), dtype=float)
 
     return score(F.coalesce(text, F.lit("")))
 
