@@ -1,15 +1,20 @@
-"""Document fingerprints: a Merkle tree over paragraphs and sections.
-
-A leaf is the sha256 of a paragraph (a line), a section (set apart by blank lines) the sha256 of
-its leaves, the root that of the sections. Equal roots mean equal texts up to the width of blank
-lines, whose exact form the root therefore hashes too; differing sections and leaves locate edits.
-The fingerprint is the root and the ``SKETCH`` smallest hashes of the word groups below the
-paragraphs (up to four words of a sentence): likeness is 1 for equal roots and else the share of
-common hashes among the smallest of both, an estimate of the Jaccard likeness of the groups.
-
-Null texts are empty. An empty text has the root of no sections and no groups; it is like another
-empty text only. Every row counts for itself, so rows that repeat a ``doc_id`` are ordered by the
-md5 of their texts; rows without a ``doc_id`` come last.
+"""Document fingerprints: a Merkle tree over sections, paragraphs and word groups.
+
+A paragraph is a line, a section is set apart by blank lines. The root is the sha256 over the
+sections, theirs over the paragraphs. Equal roots mean equal texts up to the width of blank lines,
+whose exact form the root therefore hashes too. The fingerprint is the root and the branches below
+it: for each section its paragraphs, for each paragraph the start of its sha256 and a short hash of
+each of its word groups (up to four words of a sentence).
+
+Two fingerprints are compared from the root down, and only where they differ: equal roots are equal
+texts; sections with the same branches are common; of the others the paragraphs are compared, and of
+those that differ the word groups. Likeness is the number of common word groups over that of all,
+those of branches that occur in one text counted for it alone; different roots are never fully
+alike. ``edits`` names the paragraphs that differ. A branch that repeats within a text counts once.
+
+Null texts are empty. An empty text has no word groups; it is like another empty text only. Every row
+counts for itself, so rows that repeat a ``doc_id`` are ordered by the md5 of their texts; rows
+without a ``doc_id`` come last.
 """
 
 from __future__ import annotations
@@ -17,42 +22,102 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-SKETCH, DIGITS = 64, 8
+DIGEST, HASH = 16, 8  # hexadecimal digits of a paragraph and of a word group
+SECTION = r"\n[ \n]*\n"
 GROUP = r"(?:[^ \n]*[^ \n.!?] +){0,3}[^ \n]+ *|\n| +"
 ROWS_PER_BUCKET, EDGES = 4_000, 512
 
 
 def sections(text: Column) -> Column:
     """Sections of a text, each an array of the sha256 of its paragraphs."""
-    return F.transform(F.split(text, r"\n[ \n]*\n", -1), lambda s: F.transform(F.split(s, "\n", -1), lambda p: F.sha2(p, 256)))
+    return F.transform(F.split(text, SECTION, -1), lambda s: F.transform(F.split(s, "\n", -1), lambda p: F.sha2(p, 256)))
 
 
 def root(text: Column) -> Column:
     """The root over the sections; where blank lines are wider than one line feed pair, their exact
     form is hashed into it."""
     nodes = F.transform(sections(text), lambda leaves: F.sha2(F.array_join(leaves, ""), 256))
-    wide = F.when(text.rlike(r"\n[ \n]+\n"), F.sha2(F.array_join(F.regexp_extract_all(text, F.lit(r"\n[ \n]*\n"), F.lit(0)), "|"), 256))
+    wide = F.when(text.rlike(r"\n[ \n]+\n"), F.sha2(F.array_join(F.regexp_extract_all(text, F.lit(SECTION), F.lit(0)), "|"), 256))
     return F.sha2(F.concat(F.array_join(nodes, ""), F.coalesce(wide, F.lit(""))), 256)
 
 
 def fingerprint(text: Column) -> Column:
-    """Root, a colon, and the sketch as one hexadecimal string."""
-    groups = F.regexp_extract_all(text, F.lit(GROUP), F.lit(0))
-    hashes = F.array_distinct(F.transform(groups, lambda g: F.substring(F.md5(g), 1, DIGITS)))
-    return F.concat(root(text), F.lit(":"), F.array_join(F.slice(F.sort_array(hashes), 1, SKETCH), ""))
+    """The root, a colon, and the branches: sections by semicolons, their paragraphs by commas."""
 
+    def group(words: Column) -> Column:
+        return F.lpad(F.hex(F.xxhash64(words).bitwiseAND(F.lit((1 << 4 * HASH) - 1))), HASH, "0")
 
-def _sketch(fingerprint: Column) -> Column:
-    return F.regexp_extract_all(F.substring(fingerprint, 66, SKETCH * DIGITS), F.lit(f"[0-9a-f]{{{DIGITS}}}"), F.lit(0))
+    def paragraph(line: Column) -> Column:
+        hashes = F.transform(F.regexp_extract_all(line, F.lit(GROUP), F.lit(0)), group)
+        return F.concat(F.substring(F.sha2(line, 256), 1, DIGEST), F.array_join(hashes, ""))
+
+    def section(lines: Column) -> Column:
+        return F.array_join(F.transform(F.split(lines, "\n", -1), paragraph), ",")
+
+    return F.concat(root(text), F.lit(":"), F.array_join(F.transform(F.split(text, SECTION, -1), section), ";"))
+
+
+def _sections(printed: Column) -> Column:
+    return F.split(F.substring(printed, F.lit(66), F.char_length(printed)), ";", -1)
+
+
+def _paragraphs(sections: Column) -> Column:
+    return F.flatten(F.transform(sections, lambda s: F.split(s, ",", -1)))
+
+
+def _size(paragraphs: Column) -> Column:
+    """The word groups of some paragraphs."""
+    sizes = F.transform(paragraphs, lambda p: (F.char_length(p) - DIGEST) / HASH)
+    return F.aggregate(sizes, F.lit(0.0), lambda n, size: n + size)
+
+
+def _groups(paragraphs: Column) -> Column:
+    return F.flatten(F.transform(paragraphs, lambda p: F.regexp_extract_all(F.substring(p, F.lit(DIGEST + 1), F.char_length(p)), F.lit(f".{{{HASH}}}"), F.lit(0))))
+
+
+def _with_name(value: Column, use) -> Column:
+    """``use(value)``, the value computed once however often it is used."""
+    return F.get(F.transform(F.array(value), use), 0)
 
 
 def likeness(one: Column, other: Column) -> Column:
     """Likeness of two fingerprints, 0 to 1."""
-    a, b = _sketch(one), _sketch(other)
-    smallest = F.slice(F.sort_array(F.array_union(a, b)), 1, SKETCH)
-    common = F.size(F.array_intersect(F.array_intersect(smallest, a), b))
-    estimate = F.when(F.size(smallest) > 0, common / F.size(smallest)).otherwise(F.lit(0.0))
-    return F.when(F.substring(one, 1, 64) == F.substring(other, 1, 64), F.lit(1.0)).otherwise(F.round(estimate, 9))
+
+    def of_groups(x: Column) -> Column:
+        common = x["common"] + F.size(F.array_intersect(x["a"], x["b"]))
+        total = common + F.size(F.array_except(x["a"], x["b"])) + F.size(F.array_except(x["b"], x["a"]))
+        return F.when(total > 0, F.least(common / total, F.lit(0.999999999))).otherwise(F.lit(0.0))
+
+    def of_paragraphs(x: Column) -> Column:
+        common = x["common"] + _size(F.array_intersect(x["a"], x["b"]))
+        a, b = _groups(F.array_except(x["a"], x["b"])), _groups(F.array_except(x["b"], x["a"]))
+        return _with_name(F.struct(common.alias("common"), a.alias("a"), b.alias("b")), of_groups)
+
+    def of_sections(x: Column) -> Column:
+        common = _size(_paragraphs(F.array_intersect(x["a"], x["b"])))
+        a, b = _paragraphs(F.array_except(x["a"], x["b"])), _paragraphs(F.array_except(x["b"], x["a"]))
+        return _with_name(F.struct(common.alias("common"), a.alias("a"), b.alias("b")), of_paragraphs)
+
+    unlike = _with_name(F.struct(_sections(one).alias("a"), _sections(other).alias("b")), of_sections)
+    return F.when(F.substring(one, 1, 64) == F.substring(other, 1, 64), F.lit(1.0)).otherwise(F.round(unlike, 9))
+
+
+def edits(one: Column, other: Column) -> Column:
+    """Where the first text differs: ``(section, paragraph)``, from 0, of the paragraphs that the
+    differing sections of the second do not have. Equal branches are not looked into."""
+    place = "array<struct<section:int,paragraph:int>>"
+
+    def differing(x: Column) -> Column:
+        held = _paragraphs(F.array_except(x["b"], x["a"]))
+
+        def of_section(section: Column, i: Column) -> Column:
+            found = F.transform(F.split(section, ",", -1), lambda p, j: F.when(~F.array_contains(held, p), F.struct(i.alias("section"), j.alias("paragraph"))))
+            return F.when(F.array_contains(x["b"], section), F.array().cast(place)).otherwise(F.filter(found, lambda f: f.isNotNull()).cast(place))
+
+        return F.flatten(F.transform(x["a"], of_section))
+
+    found = _with_name(F.struct(_sections(one).alias("a"), _sections(other).alias("b")), differing)
+    return F.when(F.substring(one, 1, 64) == F.substring(other, 1, 64), F.array().cast(place)).otherwise(found)
 
 
 def tree(docs: DataFrame) -> DataFrame:

@@ -309,6 +309,48 @@ def test_merkle(spark, documents):
     assert np.mean([r.near_edited > r.near_next for r in found.values()]) > 0.95
 
 
+def brute_tree(text):
+    """Per section its paragraphs, each with its word groups."""
+    return [[(p, tuple(re.findall(merkle.GROUP, p))) for p in s.split("\n")] for s in re.split(merkle.SECTION, text)]
+
+
+def brute_likeness(one, other):
+    def once(items):
+        return list(dict.fromkeys(items))
+
+    if one == other:
+        return 1.0
+    a, b = (once(tuple(s) for s in brute_tree(t)) for t in (one, other))
+    common = sum(len(g) for s in a if s in b for _, g in s)
+    a, b = once(p for s in a if s not in b for p in s), once(p for s in b if s not in a for p in s)
+    common += sum(len(g) for g in (p[1] for p in set(a) & set(b)))
+    a, b = ({g for p in x if p not in y for g in p[1]} for x, y in ((a, b), (b, a)))
+    common += len(a & b)
+    total = common + len(a ^ b)
+    return round(min(common / total, 0.999999999), 9) if total else 0.0
+
+
+def test_likeness_is_that_of_the_branches(spark):
+    rng = np.random.default_rng(8)
+    words = ["the", "cat", "sat.", "on", "mat", "\n", "\n\n", "\n \n", " ", "é", "dog!", "ran"]
+    texts = [" ".join(rng.choice(words, rng.integers(0, 40))) for _ in range(150)] + ["", " ", "\n", LONG, LONG + "x", LONG[:100_000] + "y " + LONG[100_000:]]
+    texts += [" ".join(f"w{i}" for i in range(40_000)), " ".join(f"w{i}" if i != 20_000 else "other" for i in range(40_000)), "a b c d\na b c d", "a b c d"]
+    pairs = [(texts[i], texts[i - 1]) for i in range(len(texts))] + [(texts[i], texts[i - 7]) for i in range(150)]
+    df = spark.createDataFrame(pairs, "a string, b string")
+    prints = df.select("*", merkle.fingerprint(F.col("a")).alias("x"), merkle.fingerprint(F.col("b")).alias("y"))
+    for r in prints.select("a", "b", "x", "y", merkle.likeness(F.col("x"), F.col("y")).alias("found")).collect():
+        assert (r.found == 1) == (r.x[:64] == r.y[:64]) == (r.a == r.b)
+        assert r.found == pytest.approx(brute_likeness(r.a, r.b), abs=1e-8)
+
+
+def test_edits_are_located(spark):
+    one = "a b\nc d\n\ne f\ng h\n\ni j"
+    cases = {"a b\nc d\n\ne f\nX\n\ni j": [(1, 1)], one: [], "a b\nc d\n\ni j": [(1, 0), (1, 1)], "": [(0, 0), (0, 1), (1, 0), (1, 1), (2, 0)]}
+    df = spark.createDataFrame([(one, b) for b in cases], "a string, b string")
+    found = df.select("b", merkle.edits(merkle.fingerprint(F.col("a")), merkle.fingerprint(F.col("b"))).alias("at")).collect()
+    assert {r.b: [tuple(x) for x in r.at] for r in found} == cases
+
+
 def test_merkle_ranges_and_odd_input(spark, monkeypatch):
     monkeypatch.setattr(merkle, "ROWS_PER_BUCKET", 3)
     df = spark.createDataFrame([(i * i, f"text {i}") for i in range(40)], "doc_id long, text string")
