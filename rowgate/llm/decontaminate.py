@@ -1,12 +1,14 @@
 """Benchmark decontamination by pigeonhole edit matching over words.
 
-Texts are compared as sequences of lower-case words (runs of letters, digits and underscores). An
-item of n words may differ from a passage by one word in five: with k errors allowed it is cut into
-k + 1 pieces, one of which a match holds unchanged. All pieces are sought at once by an automaton,
+Texts are compared as sequences of lower-case words (runs of letters, digits and underscores; in
+scripts that set no blanks each character is a word). An item of n words may differ from a passage by
+one word in five, so one under five words must stand there unchanged: with k errors allowed it is cut
+into k + 1 pieces, one of which a match holds unchanged. All pieces are sought at once by an automaton,
 and the words around a hit are verified with Myers' bit-parallel edit distance. Items are a stated
 query set; they are shipped to the tasks in blocks of at most ``BLOCK_BYTES`` of text.
 
-Null texts have no words. Items under ``min_words`` words are not sought. Repeated items are
+Null texts have no words, nor are items without words sought; a caller who takes very short items for
+chance may raise ``min_words``. Repeated items are
 reported one by one, repeated rows as well; without items or rows there are no matches.
 """
 
@@ -24,13 +26,17 @@ from pyspark.sql import functions as F
 
 from rowgate.llm.common import id_and_text
 
-BLOCK_BYTES, MIN_WORDS, ERROR_SHARE = 4_000_000, 5, 5
+BLOCK_BYTES, MIN_WORDS, ERROR_SHARE = 4_000_000, 1, 5
 LEAKS = "doc_id long, item_id long, errors int, allowed int, end_word long"
 _OTHER = re.compile(r"\W+")
+# Letters of Thai, Lao, Tibetan, Burmese, Khmer, kana and Han, which are written without blanks.
+_UNSPACED = re.compile("([\u0e00-\u0fff\u1000-\u109f\u1780-\u17ff\u3005-\u3007\u3041-\u30ff\u3400-\u9fff\uf900-\ufaff\U00020000-\U0003ffff])")
 
 
 def normal(text: str) -> str:
     """Words in lower case, a blank before and after each."""
+    if _UNSPACED.search(text):
+        text = _UNSPACED.sub(r" \1 ", text)
     return f" {_OTHER.sub(' ', text.lower()).strip()} "
 
 

@@ -181,7 +181,7 @@ def test_edit_matching_is_exact(spark):
         for i, item in items:
             n = len(item.split())
             errors = distance(item.split(), text.split())
-            if n >= 5 and errors <= n // 5:
+            if errors <= n // 5:
                 expected[i] = errors
         assert found == expected
         hits += len(found)

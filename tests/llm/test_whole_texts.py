@@ -13,6 +13,37 @@ def test_item_behind_a_lead_of_its_own_end():
     assert [(p.item_id, errors, end) for p, errors, end in found] == [(1, 0, 35)]
 
 
+def brute_errors(item, words):
+    """The least edit distance of an item to any run of words."""
+    row = [0] * (len(words) + 1)
+    for i, wanted in enumerate(item, 1):
+        last, row[0] = row[:], i
+        for j, word in enumerate(words, 1):
+            row[j] = min(last[j - 1] + (wanted != word), last[j] + 1, row[j - 1] + 1)
+    return min(row)
+
+
+def test_short_items_and_scripts_without_blanks():
+    rng = np.random.default_rng(4)
+    han, kana = "漢字文章機械学習評価", "あいうえおカキクケコ"
+    made = lambda letters, n: "".join(rng.choice(list(letters), n))
+    items = [(i, " ".join(rng.choice(["alpha", "beta", "gamma", "delta"], i % 4 + 1))) for i in range(30)]
+    items += [(100 + i, made(han + kana, int(rng.integers(1, 40)))) for i in range(30)] + [(200, "ภาษาไทยไม่มีช่องว่าง"), (201, "?!"), (202, "")]
+    matcher = decontaminate.Matcher(items)
+    texts = [" ".join(rng.choice(["alpha", "beta", "gamma", "delta", "x"], 8)) for _ in range(60)]
+    texts += [made(han + kana, 30) + items[30 + i][1] + made(han, 9) for i in range(30)]
+    texts += [made(kana, 5) + items[50][1][:-2] + "。X" + items[50][1][-1:], "ก่อน ภาษาไทยไม่มีช่องว่าง", "", "!?"]
+    for text in texts:
+        words = decontaminate.normal(text).split()
+        expected = {}
+        for item_id, item in items:
+            wanted = decontaminate.normal(item).split()
+            errors = brute_errors(wanted, words)
+            if wanted and errors <= len(wanted) // decontaminate.ERROR_SHARE:
+                expected[item_id] = errors
+        assert {p.item_id: errors for p, errors, _ in matcher.matches(text)} == expected
+
+
 def test_long_words_are_scored_to_their_end():
     """Runs of 364 characters that differ behind the first 64 only."""
     rng = np.random.default_rng(1)
