@@ -10,15 +10,14 @@ becomes *runs* of starts with one hash.
 2. The bytes of the other runs meet by hash. Runs with equal bytes are merged first, in the batch
    and in the task; all but the earliest are removed whole. A hash with more than ``CROWD``
    different runs is dealt out anew by the hash of each of its strings.
-3. What is left of a hash goes into a suffix array, by prefix doubling up to ``LENGTH`` bytes. In
-   suffix order, equal prefixes of that length in the order of their places, the previous smaller
-   place of a suffix shares ``LENGTH`` bytes with it exactly if it stands before it in the same
-   block, and the next smaller place never does. So the longest previous factor reaches ``LENGTH``
-   for every suffix of a block but its first, and that one's bytes stay.
+3. What is left of a hash goes into a suffix array, by prefix doubling up to ``LENGTH`` bytes. From
+   the common prefixes of neighbours and the previous and next smaller place in suffix order comes
+   the longest previous factor of every start, up to ``LENGTH``. Starts whose factor reaches it are
+   removed with the bytes they cover; the first of equal strings has a shorter factor and stays.
 
 Earlier means a smaller ``doc_id``, or the same document and an earlier start. Null texts are empty;
-texts under 100 bytes lose nothing. Rows that are equal in ``doc_id`` and text are one document and
-get the same result each; of different texts with one ``doc_id`` the order is that of their hashes;
+texts under 100 bytes lose nothing. Rows that are equal in ``doc_id`` and text are one document, taken
+once however many they are, and get the same result each; of different texts with one ``doc_id`` the order is that of their hashes;
 no ``doc_id`` comes first. An empty table gives no rows.
 """
 
@@ -38,7 +37,8 @@ from rowgate.llm.common import id_and_text, shuffle_partitions, stored
 LENGTH, GRAM = 100, 24
 SPAN = LENGTH - GRAM + 1
 CROWD = 100_000
-_PIECE = 1 << 20
+_PIECE, _COMPARED = 1 << 20, 20_000
+MOST_BROADCAST = 1_000_000  # keys of 8 bytes
 _TIE = np.uint32(1 << 31)
 RUN = np.dtype([("hash", "<u8"), ("at", "<u4"), ("n", "<u4")])
 _BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -217,24 +217,58 @@ def repeated_runs(texts: DataFrame) -> DataFrame:
     return met.mapInArrow(answer, "dk long, runs binary")
 
 
+def _common(data: np.ndarray, one: np.ndarray, other: np.ndarray) -> np.ndarray:
+    """How many of the ``LENGTH`` bytes from each of two places on are equal at their beginning."""
+    found, reach = np.full(len(one), LENGTH, np.int64), np.arange(LENGTH)
+    for at in range(0, len(one), _COMPARED):
+        some = slice(at, at + _COMPARED)
+        unequal = data[one[some, None] + reach] != data[other[some, None] + reach]
+        found[some] = np.where(unequal.any(axis=1), unequal.argmax(axis=1), LENGTH)
+    return found
+
+
+def _shared_with_smaller(place: np.ndarray, common: np.ndarray) -> np.ndarray:
+    """What each suffix shares with the nearest one before it in suffix order that has a smaller
+    place; ``common`` is what it shares with its neighbour. Everyone steps over neighbours of larger
+    places, and over what these have stepped over, so a chain is halved each time."""
+    before, shared = np.arange(len(place)) - 1, common.copy()
+    moving = np.flatnonzero((before >= 0) & (place[np.maximum(before, 0)] > place))
+    while len(moving):
+        over = before[moving]
+        steps, least = before[over], np.minimum(shared[moving], shared[over])
+        before[moving], shared[moving] = steps, least
+        moving = moving[(steps >= 0) & (place[np.maximum(steps, 0)] > place[moving])]
+    shared[before < 0] = 0
+    return shared
+
+
 def previous_factors(data: np.ndarray, starts: np.ndarray, place: np.ndarray) -> np.ndarray:
-    """Whether the longest previous factor at each of ``starts`` reaches ``LENGTH`` bytes, where
-    ``place`` orders the starts. Prefix doubling: ranks of 8, 16, 32, 64 and then 100 bytes."""
-    padded = np.r_[data, np.zeros(LENGTH, np.uint8)].astype(np.uint64)
-    n = len(data)
+    """The longest previous factor at each of ``starts``, up to ``LENGTH`` bytes, where ``place``
+    orders the starts. Suffixes are put in order by prefix doubling: ranks of 8, 16, 32, 64 and then
+    100 bytes, equal ones by place."""
+    if not len(starts):
+        return np.zeros(0, np.int64)
+    padded = np.r_[data, np.zeros(LENGTH, np.uint8)]
+    wide, n = padded.astype(np.uint64), len(data)
     rank = np.zeros(n, np.uint64)
     for byte in range(8):
-        rank |= padded[byte : byte + n] << np.uint64(56 - 8 * byte)
+        rank |= wide[byte : byte + n] << np.uint64(56 - 8 * byte)
+    del wide
     rank = np.unique(rank, return_inverse=True)[1].astype(np.uint64)
     for step in (8, 16, 32, LENGTH - 64):
         ahead = np.zeros(n, np.uint64)
         ahead[: max(0, n - step)] = rank[step:] + np.uint64(1)
         rank = np.unique(rank * np.uint64(n + 2) + ahead, return_inverse=True)[1].astype(np.uint64)
     rank = rank[starts]
-    order = np.lexsort((place, rank))  # suffix order, equal prefixes by place
-    ranked = rank[order]
-    found = np.zeros(len(starts), bool)
-    found[order[1:]] = ranked[1:] == ranked[:-1]
+    order = np.lexsort((place, rank))
+    ranked, placed, at = rank[order], place[order], starts[order]
+    common = np.full(len(order), LENGTH, np.int64)
+    unlike = np.flatnonzero(ranked[1:] != ranked[:-1]) + 1
+    common[unlike], common[0] = _common(padded, at[unlike - 1], at[unlike]), 0
+    earlier = _shared_with_smaller(placed, common)
+    later = _shared_with_smaller(placed[::-1], np.r_[0, common[:0:-1]])[::-1]
+    found = np.empty(len(order), np.int64)
+    found[order] = np.maximum(earlier, later)
     return found
 
 
@@ -261,7 +295,8 @@ def _removed(segments: list[tuple[int, int, int, int, bytes, bool]]) -> Iterator
     within = np.arange(counts.sum()) - np.repeat(np.r_[0, np.cumsum(counts)[:-1]], counts)
     which = np.repeat(np.arange(len(open_)), counts)
     # Runs of one document do not overlap in their starts, so the order of runs is that of places.
-    again = previous_factors(np.frombuffer(b"".join(d for _, d in open_), np.uint8), begin[which] + within, np.arange(len(which)))
+    factors = previous_factors(np.frombuffer(b"".join(d for _, d in open_), np.uint8), begin[which] + within, np.arange(len(which)))
+    again = factors >= LENGTH
     edge = np.flatnonzero(np.diff(np.r_[0, again.astype(np.int8), 0]))
     cuts = np.cumsum(counts)
     for a, b in edge.reshape(-1, 2).tolist():
@@ -360,7 +395,7 @@ def _kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The text without its spans."""
     for batch in batches:
         rows = []
-        for doc, text, spans in zip(*(c.to_pylist() for c in batch.columns)):
+        for doc, dk, text, spans in zip(*(c.to_pylist() for c in batch.columns)):
             data, kept, at, removed, merged = text.encode(), [], 0, 0, 0
             for span in spans:
                 if span["stop"] <= at:
@@ -370,10 +405,10 @@ def _kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 removed += span["stop"] - max(at, span["start"])
                 at = span["stop"]
             kept.append(data[at:])
-            rows.append((doc, len(data), removed, merged, b"".join(kept)))
-        types = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary())
-        columns = list(zip(*rows)) or [()] * 5
-        yield _table(dict(zip(("doc_id", "n_bytes", "n_removed", "n_spans", "kept"), (pa.array(c, t) for c, t in zip(columns, types)))))
+            rows.append((doc, dk, len(data), removed, merged, b"".join(kept)))
+        types = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary())
+        columns = list(zip(*rows)) or [()] * 6
+        yield _table(dict(zip(("doc_id", "dk", "n_bytes", "n_removed", "n_spans", "kept"), (pa.array(c, t) for c, t in zip(columns, types)))))
 
 
 def without_repeats(docs: DataFrame) -> DataFrame:
@@ -382,6 +417,22 @@ def without_repeats(docs: DataFrame) -> DataFrame:
     lowest = -(2**63)
     texts = id_and_text(docs).withColumn("doc_id", F.coalesce("doc_id", F.lit(lowest)))
     texts = texts.withColumn("dk", F.xxhash64("doc_id", "text"))
+    copies = stored(texts.groupBy("dk").agg(F.count("*").alias("times")).where("times > 1"), "copies")
+    n = copies.count()
+    if n:  # of equal rows one is taken, and its result given out as often as they are
+        known = F.broadcast(copies) if n <= MOST_BROADCAST else copies
+        single = texts.join(known, "dk", "left_anti")
+        single = single.unionByName(texts.join(known, "dk", "left_semi").dropDuplicates(["dk"]))
+        found = _without_repeats(single).join(known, "dk", "left")
+        found = found.withColumn("time", F.explode(F.sequence(F.lit(1).cast("long"), F.coalesce("times", F.lit(1).cast("long")))))
+    else:
+        found = _without_repeats(texts)
+    id_ = F.when(F.col("doc_id") != lowest, F.col("doc_id")).alias("doc_id")
+    return found.select(id_, "n_bytes", "n_removed", "n_spans", "kept", "kept_sha256")
+
+
+def _without_repeats(texts: DataFrame) -> DataFrame:
+    """The result for ``texts(doc_id, text, dk)``, with ``dk``."""
     runs = repeated_runs(texts.select("dk", "text")).groupBy("dk").agg(F.collect_list("runs").alias("runs"))
     joined = texts.join(runs, "dk", "left")
     alone = F.col("runs").isNull()
@@ -397,12 +448,11 @@ def without_repeats(docs: DataFrame) -> DataFrame:
     spans = spans.groupBy("doc_id", "dk").agg(F.sort_array(F.collect_list(F.struct("start", "stop"))).alias("spans"))
     own = touched.select("doc_id", "dk", "text").join(spans, ["doc_id", "dk"], "left")
     none = F.array().cast("array<struct<start:int,stop:int>>")
-    cut = own.select("doc_id", "text", F.coalesce("spans", none).alias("spans"))
-    cut = cut.mapInArrow(_kept, "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary")
+    cut = own.select("doc_id", "dk", "text", F.coalesce("spans", none).alias("spans"))
+    cut = cut.mapInArrow(_kept, "doc_id long, dk long, n_bytes long, n_removed long, n_spans long, kept binary")
     zero = F.lit(0).cast("long")
-    whole = rest.select("doc_id", "n_bytes", zero.alias("n_removed"), zero.alias("n_spans"), F.lit(None).cast("binary").alias("kept"), F.col("sha").alias("kept_sha256"))
-    both = cut.withColumn("kept_sha256", F.sha2("kept", 256)).unionByName(whole)
-    return both.withColumn("doc_id", F.when(F.col("doc_id") != lowest, F.col("doc_id")))
+    whole = rest.select("doc_id", "dk", "n_bytes", zero.alias("n_removed"), zero.alias("n_spans"), F.lit(None).cast("binary").alias("kept"), F.col("sha").alias("kept_sha256"))
+    return cut.withColumn("kept_sha256", F.sha2("kept", 256)).unionByName(whole)
 
 
 def repeat_report(docs: DataFrame) -> DataFrame:
