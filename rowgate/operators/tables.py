@@ -23,7 +23,7 @@ import uuid
 from collections import defaultdict
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -150,7 +150,7 @@ class Table:
         return reader.parquet(*(paths or [f"{self.data}/none"]))
 
     def _bucketed(self, rows: DataFrame) -> DataFrame:
-        return rows.withColumn(_BUCKET, F.pmod(F.xxhash64(*map(ref, self.spec.keys)), F.lit(self.buckets)))
+        return rows.withColumn(_BUCKET, self._bucket())
 
     def _append(self, rows: DataFrame, load_id: str) -> None:
         name = f"load={load_id}"
@@ -167,9 +167,13 @@ class Table:
     def _write_keyed(self, rows: DataFrame, order: Column, load_id: str, update: bool) -> None:
         keys, columns, work = self.spec.keys, self.spec.names, self.work_folder(load_id)
         chosen = one_per_key(rows, keys, order, columns, "last" if update else "first")
-        incoming = _write_once(conform(chosen, self.spec.schema), f"{work}/incoming")
-        reached = self._bucketed(incoming).groupBy(_BUCKET).count().collect()  # a row for each bucket
-        reached = {int(r[_BUCKET]): r["count"] for r in reached}
+        path = f"{work}/incoming"
+        if is_complete(self.spark, path):
+            counted = self._bucketed(self._files([path])).groupBy(_BUCKET).count().collect()  # a row for each bucket
+            reached = {int(r[_BUCKET]): r["count"] for r in counted}
+        else:
+            reached = self._counted(conform(chosen, self.spec.schema), lambda rows: _write_once(rows, path))
+        incoming = self._files([path])
         for _ in range(ATTEMPTS):
             base = commits.last(self.spark, self.folder)
             new = self._prepared(incoming, reached, base, load_id, update)
@@ -184,13 +188,12 @@ class Table:
         keys, live = self.spec.keys, {int(k): names for k, names in base["live"].items()}
         name, work = f"{base['number'] + 1}-{uuid.uuid4().hex[:6]}", self.work_folder(load_id)
         stored = self._files([f"{self.data}/{n}/{_BUCKET}={k}" for k in reached for n in live.get(k, ())])
-        self._write(self._spread(new_rows(stored, incoming, keys)), f"{work}/{name}")
+        unknown = self._spread(new_rows(stored, incoming, keys))
+        added = self._counted(unknown, lambda rows: self._write(rows, f"{work}/{name}"))
         fresh = self._files([f"{work}/{name}"])
-        added = {int(p.rsplit("=", 1)[-1]) for p in list_folders(self.spark, f"{work}/{name}")}
         merged = {k for k in added if len(live.get(k, ())) >= SEGMENTS}
         if update:
-            counts = {int(r[_BUCKET]): r["count"] for r in self._bucketed(fresh).groupBy(_BUCKET).count().collect()} if added else {}
-            merged |= {k for k, n in reached.items() if counts.get(k, 0) < n}
+            merged |= {k for k, n in reached.items() if added.get(k, 0) < n}
         if merged:
             held = self._files([f"{self.data}/{n}/{_BUCKET}={k}" for k in merged for n in live.get(k, ())])
             wanted = self._bucketed(incoming if update else fresh).where(F.col(_BUCKET).isin(*merged)).drop(_BUCKET)
@@ -198,14 +201,14 @@ class Table:
             move_folder(self.spark, f"{work}/{name}-merged", f"{self.data}/{name}-merged")
         if added:
             move_folder(self.spark, f"{work}/{name}", f"{self.data}/{name}")
-        for k in added | merged:
+        for k in added.keys() | merged:
             live[k] = [f"{name}-merged"] if k in merged else [*live.get(k, ()), name]
         return {
             "number": base["number"] + 1,
             "load": load_id,
             "name": name,
             "inserted": [name] if added else [],
-            "touched": sorted(added | merged),
+            "touched": sorted(added.keys() | merged),
             "read": sorted(reached),
             "live": {str(k): names for k, names in sorted(live.items())},
         }
@@ -220,6 +223,15 @@ class Table:
             return None
         return {**new, "number": last["number"] + 1, "live": {**last["live"], **{str(k): new["live"][str(k)] for k in new["touched"]}}}
 
+    def _counted(self, rows: DataFrame, write) -> dict[int, int]:
+        """``write(rows)``, and the rows of each bucket that has some, counted on the way."""
+        total, bucket = Observation(), self._bucket()
+        write(rows.observe(total, *[F.count_if(bucket == k).alias(str(k)) for k in range(self.buckets)]))
+        return {int(k): n for k, n in total.get.items() if n}
+
+    def _bucket(self) -> Column:
+        return F.pmod(F.xxhash64(*map(ref, self.spec.keys)), F.lit(self.buckets))
+
     def _spread(self, rows: DataFrame) -> DataFrame:
         """Rows dealt out by bucket, a large bucket to several tasks, so that buckets get few files."""
         return self._bucketed(rows).hint("rebalance", F.col(_BUCKET)).drop(_BUCKET)

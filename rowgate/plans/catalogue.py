@@ -358,6 +358,7 @@ def table_insert_log(spark, sf_dir):
     return stored.inserted().drop("load")
 
 
+PAGE = 50
 _ORDER_PRICES = "o_orderkey|long|$primary_key,o_custkey|long,o_totalprice|double"
 
 
@@ -547,17 +548,16 @@ def feed_read_counts(spark, sf_dir):
 
 @query
 def page_records_all(spark, sf_dir):
-    """All conversations, page after page by a key of two columns."""
+    """All conversations, in pages by a key of two columns."""
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role")
-    size, after, pages = max(50, rows.count() // 4 + 1), None, None
-    while True:
-        page = analytics.page_records(rows, ["conv_id", "turn"], after, size)
-        last = page.agg(F.max(F.struct("conv_id", "turn")).alias("last"), F.max("has_more").alias("more")).first()
-        page = page.drop("has_more")
-        pages = page if pages is None else pages.unionByName(page)
-        if not last.more:
-            return pages
-        after = tuple(last.last)
+    return analytics.number_pages(rows, ["conv_id", "turn"], PAGE).drop("page")
+
+
+@query
+def page_records_numbered(spark, sf_dir):
+    """The page of every conversation's turn."""
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn")
+    return analytics.number_pages(rows, ["conv_id", "turn"], PAGE)
 
 
 def _table_with_new_rows(spark: SparkSession, sf_dir: str, start) -> str:
@@ -655,6 +655,23 @@ def export_raw_cells(spark, sf_dir):
     return records.where(F.col("value").rlike("^[0-9]")).withColumnRenamed("value", "record")
 
 
+@query
+def export_file_names(spark, sf_dir):
+    """Files of at most 300 rows: their ending, and the rows behind a header in each."""
+    folder = new_folder(spark, "export")
+    with_cap, cap = "spark.sql.files.maxRecordsPerFile", spark.conf.get("spark.sql.files.maxRecordsPerFile")
+    spark.conf.set(with_cap, "300")
+    try:
+        write_delimited(_typed_events(spark, sf_dir, F.col("event_type")), folder)
+    finally:
+        spark.conf.set(with_cap, cap)
+    lines = spark.read.option("lineSep", "\r\n").text(folder).select("value", F.col("_metadata.file_name").alias("file"))
+    is_header = F.startswith("value", F.lit("event_id|long|"))
+    files = lines.groupBy("file").agg(F.count_if(is_header).alias("headers"), F.count_if(~is_header).alias("rows"))
+    ending = F.concat(F.lit("."), F.substring_index("file", ".", -1)).alias("ending")
+    return files.groupBy(ending, "headers").agg(F.sum("rows").alias("n"), F.max(F.col("rows") <= 300).alias("capped"))
+
+
 @query
 def export_typed_header(spark, sf_dir):
     """The header cells found in the exported files, each with the number of values below it."""

@@ -102,6 +102,9 @@ SELECT count(*) FILTER (WHERE event_id % 50 NOT IN {_BAD_EVENTS}) AS accepted,
     "stream_load_attributes": _LOADED_ORDERS,
     "stream_two_sources": _LOADED_ORDERS,
     "page_records_all": "SELECT conv_id, turn, role FROM conversations",
+    "page_records_numbered": """
+SELECT conv_id, turn, (row_number() OVER (ORDER BY conv_id, turn) - 1) // 50 AS page FROM conversations""",
+    "export_file_names": "SELECT '.csv' AS ending, CAST(1 AS BIGINT) AS headers, count(*) AS n, true AS capped FROM events",
     "change_feed_new_rows": "SELECT event_id, user_id, event_type, value FROM events WHERE event_id % 3 <> 0",
     "change_feed_json": """
 SELECT event_id, value, CAST(event_id % 3 AS INTEGER) AS batch FROM events WHERE event_id % 3 <> 0""",
