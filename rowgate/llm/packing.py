@@ -133,7 +133,8 @@ def pack_documents(docs: DataFrame, tokenizer: str, end_id: int, capacity: int)
                 names=["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"],
             )
 
-    ranked = pieces.join(bases, ["shard", "length"]).select(
+    # A row for each shard and length: it grows with the corpus, so it is not to be broadcast.
+    ranked = pieces.join(bases.hint("merge"), ["shard", "length"]).select(
         "doc_id", "piece", "start", "length", "ids_crc32", (F.col("nth") + F.col("base")).alias("nth")
     )
     return ranked.mapInArrow(place, PLACED)
