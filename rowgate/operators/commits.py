@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import json
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
 from rowgate.session import publish_text, put_text, read_text
@@ -27,7 +28,10 @@ def entry(spark: SparkSession, folder: str, number: int) -> dict | None:
 
 def last(spark: SparkSession, folder: str) -> dict:
     """The newest entry. Numbers are probed from a hint on, which may be behind; nothing is listed."""
-    hint = read_text(spark, f"{folder}/commits/hint") or ""
+    try:
+        hint = read_text(spark, f"{folder}/commits/hint") or ""
+    except Py4JJavaError:  # it is being written
+        hint = ""
     found = entry(spark, folder, int(hint)) if hint.isdigit() else None
     found = found or START
     while (after := entry(spark, folder, found["number"] + 1)) is not None:
@@ -43,5 +47,8 @@ def add(spark: SparkSession, folder: str, new: dict) -> bool:
     """Whether the entry is the first of its number and now counts."""
     if not publish_text(spark, path_of(folder, new["number"]), json.dumps(new)):
         return False
-    put_text(spark, f"{folder}/commits/hint", str(new["number"]))
+    try:
+        put_text(spark, f"{folder}/commits/hint", str(new["number"]))
+    except Py4JJavaError:  # another load is writing it
+        pass
     return True

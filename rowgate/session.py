@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import threading
 import uuid
 
 from py4j.protocol import Py4JJavaError
@@ -10,6 +11,7 @@ from pyspark.sql import SparkSession
 
 _LOCAL_FOLDERS: dict[str, str] = {}
 _FOLDERS: dict[str, list[str]] = {}
+_PUBLISHING = threading.Lock()
 
 # Session settings the operators rely on; all can be set at run time.
 SETTINGS = {
@@ -150,7 +152,7 @@ def publish_text(spark: SparkSession, path: str, text: str) -> bool:
     """Create a small file unless there is one, whole at once; whether it was created.
 
     The text is written aside and renamed without overwriting, which HDFS does in one step; on local
-    disks the look at the target and the renaming are two."""
+    disks the look at the target and the renaming are two, so threads of one process take turns."""
     aside = f"{path}.{uuid.uuid4().hex}"
     put_text(spark, aside, text)
     old, files = _hadoop_path(spark, aside)
@@ -159,7 +161,8 @@ def publish_text(spark: SparkSession, path: str, text: str) -> bool:
     context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(files.getUri(), spark._jsc.hadoopConfiguration())
     plain = spark.sparkContext._gateway.new_array(getattr(jvm.org.apache.hadoop.fs, "Options$Rename"), 0)
     try:
-        context.rename(old, new, plain)
+        with _PUBLISHING:
+            context.rename(old, new, plain)
     except Py4JJavaError as error:
         files.delete(old, False)
         if files.exists(new):
