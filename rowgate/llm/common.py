@@ -47,7 +47,8 @@ def connected_components(links: DataFrame, rounds: int = 64) -> DataFrame:
     adaptive execution may split, and minima are taken in each task first, so a vertex with very
     many links is no hot group. Each round is written to the shared checkpoint folder.
     """
-    both = stored(links.select("a", "b").union(links.select("b", "a")).where("a <> b").distinct(), "links")
+    ways = F.array(F.struct("a", "b"), F.struct(F.col("b").alias("a"), F.col("a").alias("b")))
+    both = stored(links.where("a <> b").select(F.inline(ways)).distinct(), "links")  # links are computed once
     labels = stored(both.groupBy(F.col("a").alias("id")).agg(F.least("id", F.min("b")).alias("component")), "labels")
     for _ in range(rounds):
         near = both.join(labels, both.b == labels.id).groupBy(F.col("a").alias("id")).agg(F.min("component").alias("near"))

@@ -151,12 +151,16 @@ def links(distinct: DataFrame, bits: int = BITS) -> DataFrame:
     # A point that no crowded one touches has at most 33 x HOT fingerprints.
     crowded = counts.where(F.col("n") > HOT).mapInArrow(_around, "cell long, n long")
     crowded = stored(crowded.groupBy("cell").agg(F.ceil(F.sum("n") / BLOCK).cast("int").alias("blocks")), "crowded")
-    points = distinct.mapInArrow(_points, "cell long, fp long").join(crowded, "cell", "left")
-    blocks = F.coalesce("blocks", F.lit(1))
-    mine = F.pmod(F.xxhash64("fp"), blocks).cast("int")
-    dealt = points.select("cell", "fp", blocks.alias("blocks"), mine.alias("mine"), F.explode(F.sequence(F.lit(0), blocks - 1)).alias("other"))
-    key = F.xxhash64("cell", F.least("mine", "other"), F.greatest("mine", "other"))
-    dealt = dealt.select(key.alias("key"), "fp").repartition("key").sortWithinPartitions("key")
+    dealt = distinct.mapInArrow(_points, "cell long, fp long")
+    if crowded.isEmpty():  # every point is one block
+        dealt = dealt.withColumnRenamed("cell", "key")
+    else:
+        blocks = F.coalesce("blocks", F.lit(1))
+        mine = F.pmod(F.xxhash64("fp"), blocks).cast("int")
+        other = F.explode(F.sequence(F.lit(0), blocks - 1)).alias("other")
+        dealt = dealt.join(crowded, "cell", "left").select("cell", "fp", mine.alias("mine"), other)
+        dealt = dealt.select(F.xxhash64("cell", F.least("mine", "other"), F.greatest("mine", "other")).alias("key"), "fp")
+    dealt = dealt.repartition("key").sortWithinPartitions("key")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys, members = [], []
