@@ -10,7 +10,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from rowgate.llm import decontaminate, lines, near_copies, packing, quality
+from rowgate.llm import decontaminate, lines, near_copies, packing, quality, simhash
 from rowgate.llm.common import table
 from rowgate.session import new_folder
 
@@ -28,8 +28,9 @@ def drop_boilerplate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies: 5-word shingles, likeness 0.8."""
-    return near_copies.one_per_group(docs)
+    """One document of each group of near copies: candidates by SimHash within op5's four bits, then by
+    bands and rare shingles, all checked for a likeness of 0.8 of their 5-word shingles."""
+    return near_copies.one_per_group(docs, simhash.BITS)
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -1,10 +1,11 @@
 """Near copies for the pipeline: texts whose sets of 5-word shingles have a Jaccard likeness of 0.8 or more.
 
-Pairs at 0.8 differ in about ten of SimHash's 64 bits and in up to eighteen; parts short enough for
-such a pigeonhole hold next to no bits, so the grid of ``simhash`` would compare nearly everything.
-Candidates are therefore texts that agree in one of ``BANDS`` bands of ``ROWS`` minima of hashes: a
-pair at 0.8 is missed with a chance of (1 - 0.8 ** 4) ** 32, under one in ten million. Every
-candidate is checked on the whole sets, so no link is an estimate.
+The first candidates are the links of ``simhash``: fingerprints of 4-word shingles within four bits, by
+its segment counts, grid and count of bits. Pairs at 0.8 differ in about ten of the 64 bits and in up to
+eighteen; parts short enough for such a pigeonhole hold next to no bits, so at that distance the grid
+would compare nearly everything. The other candidates are therefore texts that agree in one of ``BANDS``
+bands of ``ROWS`` minima of hashes: a pair at 0.8 is missed with a chance of (1 - 0.8 ** 4) ** 32, under
+one in ten million. Every candidate is checked on the whole sets, so no link is an estimate.
 
 Texts with equal sets are one node from the start. In each band group all nodes are compared with
 one of them, the one that meets most others over all its bands, as the text others were made from
@@ -27,6 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from rowgate.llm import simhash
 from rowgate.llm.common import connected_components, id_and_text, stored
 
 SHINGLE, SEED, BANDS, ROWS = 5, 42, 32, 4
@@ -68,14 +70,30 @@ def _node(hashes: np.ndarray) -> int:
 
 def _prints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        sets = [shingles(t.as_py()) for t in batch.column(1)]
-        columns = [
-            batch.column(0),
-            pa.array([_node(s) for s in sets], pa.int64()),
-            pa.array([len(s) for s in sets], pa.int32()),
-            pa.array([band_keys(s) for s in sets], pa.list_(pa.int64())),
-        ]
-        yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "node", "n", "keys"])
+        for at in range(0, batch.num_rows, 256):
+            part = batch.slice(at, 256)
+            texts = part.column(1).to_pylist()
+            sets = [shingles(t) for t in texts]
+            columns = [
+                part.column(0),
+                pa.array([_node(s) for s in sets], pa.int64()),
+                pa.array([len(s) for s in sets], pa.int32()),
+                pa.array([band_keys(s) for s in sets], pa.list_(pa.int64())),
+                pa.array(np.array([simhash.fingerprint(t) for t in texts], np.uint64).view(np.int64)),
+            ]
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "node", "n", "keys", "fp"])
+
+
+def _simhash_links(prints: DataFrame, bits: int) -> DataFrame:
+    """``(a, b)``: nodes whose texts have fingerprints that ``simhash`` links, or equal ones. A
+    fingerprint goes by the name of the smallest node that has it."""
+    named = stored(prints.groupBy("fp").agg(F.min("node").alias("name")), "fingerprints")
+    same = prints.join(named, "fp").where("node <> name").select(F.col("name").alias("a"), F.col("node").alias("b")).distinct()
+    found = simhash.links(named.select("fp"), bits)
+    one = named.select(F.col("fp").alias("a"), F.col("name").alias("one"))
+    other = named.select(F.col("fp").alias("b"), F.col("name").alias("other"))
+    within = found.join(one, "a").join(other, "b").where("one <> other").select(F.col("one").alias("a"), F.col("other").alias("b"))
+    return same.union(within)
 
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -129,20 +147,23 @@ def _partners(index: DataFrame) -> DataFrame:
     return index.join(other, "token").where(apart).select(F.col("node").alias("a"), F.col("other_node").alias("b"))
 
 
-def groups(docs: DataFrame) -> DataFrame:
-    """``doc_id`` and ``component_id``, the smallest ``doc_id`` reachable over links of near copies."""
-    prints = stored(id_and_text(docs).mapInArrow(_prints, "doc_id long, node long, n int, keys array<long>"), "shingle-prints")
+def groups(docs: DataFrame, bits: int = simhash.BITS) -> DataFrame:
+    """``doc_id`` and ``component_id``, the smallest ``doc_id`` reachable over links of near copies.
+    ``bits`` is what fingerprints may differ in to be candidates of the SimHash step."""
+    prints = stored(id_and_text(docs).mapInArrow(_prints, "doc_id long, node long, n int, keys array<long>, fp long"), "shingle-prints")
     nodes = prints.groupBy("node").agg(F.min("doc_id").alias("first"), F.first("n").alias("n"), F.first("keys").alias("keys"))
     nodes = stored(nodes, "shingle-nodes")
     keyed = nodes.select(F.explode("keys").alias("key"), "node", "n")
     sizes = keyed.groupBy("key").agg(F.count("*").alias("members")).where("members > 1")
     keyed = stored(keyed.join(sizes, "key"), "band-groups")
     spokes = stored(_hub_links(keyed).distinct(), "spokes")
-    needed = nodes.join(keyed.select("node").distinct(), "node", "left_semi").select(F.col("first").alias("doc_id"))
+    close = stored(_simhash_links(prints, bits), "simhash-links")
+    met = keyed.select("node").union(close.select("a")).union(close.select("b")).distinct()
+    needed = nodes.join(met, "node", "left_semi").select(F.col("first").alias("doc_id"))
     texts = id_and_text(docs).join(needed, "doc_id", "left_semi")
     sets = stored(texts.mapInArrow(_sets, "node long, hashes array<long>").dropDuplicates(["node"]), "shingle-sets")
 
-    links = stored(_alike(spokes, sets), "near-links")
+    links = stored(_alike(close.union(spokes), sets), "near-links")
     found = connected_components(links).select(F.col("id").alias("node"), F.col("component").alias("label"))
     named = sets.select("node").join(found, "node", "left").select("node", F.coalesce("label", "node").alias("label"))
     named = stored(keyed.join(named, "node").select("key", "node", "label"), "band-labels")
@@ -158,10 +179,10 @@ def groups(docs: DataFrame) -> DataFrame:
     return prints.select("doc_id", "node").join(classes.join(smallest, "label").select("node", "component_id"), "node").select("doc_id", "component_id")
 
 
-def one_per_group(docs: DataFrame) -> DataFrame:
-    """``docs``, all columns, without near copies: of each group the smallest ``doc_id`` stays, and
-    one row of those that repeat it. Rows without a ``doc_id`` stay."""
-    found = groups(docs.where(F.col("doc_id").isNotNull()))
+def one_per_group(docs: DataFrame, bits: int = simhash.BITS) -> DataFrame:
+    """``docs``, all columns, without near copies: of each group (of ``groups``) the smallest ``doc_id``
+    stays, and one row of those that repeat it. Rows without a ``doc_id`` stay."""
+    found = groups(docs.where(F.col("doc_id").isNotNull()), bits)
     first = found.where(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct()
     kept = docs.join(first, "doc_id", "left_semi").select(*[docs[c] for c in docs.columns]).dropDuplicates(["doc_id"])
     return kept.unionByName(docs.where(F.col("doc_id").isNull()))

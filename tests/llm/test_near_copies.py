@@ -3,7 +3,7 @@
 import corpus_pipeline
 from test_operators import components, odd
 
-from rowgate.llm import near_copies
+from rowgate.llm import near_copies, simhash
 
 
 def brute_shingles(text):
@@ -33,3 +33,17 @@ def test_chains_and_odd_input(spark):
     kept = near_copies.one_per_group(df)
     assert kept.columns == df.columns and sorted(r.doc_id or 0 for r in kept.collect()) == [0, 1, 4, 10]
     assert near_copies.one_per_group(df.limit(0)).count() == 0
+
+
+def test_simhash_names_candidates_and_the_likeness_decides(spark, monkeypatch):
+    none = spark.createDataFrame([], "a long, b long")
+    monkeypatch.setattr(near_copies, "_hub_links", lambda keyed: none)
+    monkeypatch.setattr(near_copies, "_partners", lambda index: none)
+    words, phrase = [f"w{i}" for i in range(900)], [f"p{i}" for i in range(40)]
+    texts = {1: " ".join(words), 2: " ".join([*words, "end"]), 5: "a text of its own kind"}
+    texts |= {i: " ".join(phrase * 20 + [f"odd{i}x{j}" for j in range(30)]) for i in (3, 4)}
+    for a, b, near in ((1, 2, True), (3, 4, False)):
+        assert (simhash.fingerprint(texts[a]) ^ simhash.fingerprint(texts[b])).bit_count() <= simhash.BITS
+        assert alike(brute_shingles(texts[a]), brute_shingles(texts[b])) == near
+    df = spark.createDataFrame([(i, t) for i, t in texts.items()], "doc_id long, text string")
+    assert sorted(r.doc_id for r in corpus_pipeline.drop_near_copies(spark, df, None).collect()) == [1, 3, 4, 5]
