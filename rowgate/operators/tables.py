@@ -70,7 +70,8 @@ class Table:
         loads = self.spark.createDataFrame(named, "name string, load string")
         rows = self._files([f"{self.data}/{name}" for name, _ in named])
         name = F.regexp_extract("_metadata.file_path", f".*/data/([^/]+)/(?:{_BUCKET}=\\d+/)?[^/]+$", 1)
-        return rows.select(name.alias("name"), *map(ref, self.spec.names)).join(loads, "name").drop("name")
+        named_rows = rows.select(name.alias("name"), *map(ref, self.spec.names))
+        return named_rows.join(F.broadcast(loads), "name").drop("name")  # a row a load, already here; a shuffle would put each load into one task
 
     def work_folder(self, load_id: str) -> str:
         return f"{self.folder}/work/load={load_id}"

@@ -367,3 +367,12 @@ def test_odd_column_names(spark, put, name):
     load_files(spark, put("h\n1;z\n2;y\n"), table, Dialect(";"))
     assert rows(table) == [(1, "y"), (2, "y")]
     assert TableSpec(table.read().schema).header_cells() == ["a.b|int|primary_key", "c d|string|nullable"]
+
+
+def test_the_insert_log_is_read_without_dealing_rows_by_load(spark, name):
+    table = declare_table(spark, name, KEYED)
+    for load, first in (("a", 0), ("b", 5)):
+        table.write(spark.createDataFrame([(first + i, load) for i in range(5)], table.spec.schema), F.col("k"), load)
+    log = table.inserted()
+    assert "hashpartitioning" not in log._jdf.queryExecution().executedPlan().toString()
+    assert sorted((r.load, r.k, r.v) for r in log.collect()) == [("a", i, "a") for i in range(5)] + [("b", i, "b") for i in range(5, 10)]
