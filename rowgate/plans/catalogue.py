@@ -662,7 +662,8 @@ def export_file_names(spark, sf_dir):
     with_cap, cap = "spark.sql.files.maxRecordsPerFile", spark.conf.get("spark.sql.files.maxRecordsPerFile")
     spark.conf.set(with_cap, "300")
     try:
-        write_delimited(_typed_events(spark, sf_dir, F.col("event_type")), folder)
+        # So many small files take longer to create than their rows to move: all cores share them.
+        write_delimited(_typed_events(spark, sf_dir, F.col("event_type")).repartition(spark.sparkContext.defaultParallelism), folder)
     finally:
         spark.conf.set(with_cap, cap)
     lines = spark.read.option("lineSep", "\r\n").text(folder).select("value", F.col("_metadata.file_name").alias("file"))

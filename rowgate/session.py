@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import threading
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 
 from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
@@ -12,6 +13,7 @@ from pyspark.sql import SparkSession
 _LOCAL_FOLDERS: dict[str, str] = {}
 _FOLDERS: dict[str, list[str]] = {}
 _PUBLISHING = threading.Lock()
+_RENAMED_AT_ONCE = 8
 
 # Session settings the operators rely on; all can be set at run time.
 SETTINGS = {
@@ -109,12 +111,20 @@ def move_folder(spark: SparkSession, source: str, target: str) -> None:
 
 
 def rename_files(spark: SparkSession, path: str, ending: str, new_ending: str) -> None:
-    """Give the files directly below ``path`` another ending."""
+    """Give the files directly below ``path`` another ending. They may be very many, so a file costs
+    few calls, and several files are renamed at a time."""
     folder, files = _hadoop_path(spark, path)
-    for status in files.listStatus(folder):
-        name = status.getPath().getName()
+    new_path = spark._jvm.org.apache.hadoop.fs.Path
+
+    def rename(status) -> None:
+        old = status.getPath()
+        name = old.getName()
         if name.endswith(ending) and name[0] not in "._":
-            files.rename(status.getPath(), _hadoop_path(spark, f"{path}/{name.removesuffix(ending)}{new_ending}")[0])
+            if not files.rename(old, new_path(folder, name.removesuffix(ending) + new_ending)):
+                raise RuntimeError(f"could not rename {path}/{name}")
+
+    with ThreadPoolExecutor(_RENAMED_AT_ONCE) as pool:
+        list(pool.map(rename, files.listStatus(folder)))
 
 
 def put_mark(spark: SparkSession, path: str) -> None:

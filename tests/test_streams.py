@@ -3,7 +3,7 @@ import uuid
 import pytest
 from pyspark.sql import functions as F
 
-from rowgate import Dialect, parse_spec
+from rowgate import Dialect, parse_spec, session
 from rowgate.operators.export import write_delimited, write_json
 from rowgate.operators.ingest import load_files
 from rowgate.operators.load import accepted, tag_lines
@@ -238,3 +238,13 @@ def test_a_feed_reads_on_from_its_entry(spark, put, table, tmp_path):
     lines = sorted(line for f in out.glob("batch=*/part-*.json") for line in f.read_text().splitlines())
     assert lines == ['{"k":1,"t":1577836800000}', '{"k":2,"t":null}', '{"k":4,"t":9999999999999}']
     assert query.recentProgress[-1]["sources"][0]["endOffset"] == "{'commit': 3}"
+
+
+def test_renaming_many_files_looks_up_their_folder_once(spark, tmp_path, monkeypatch):
+    for name in [*[f"part-{i:05d}.txt" for i in range(300)], "_SUCCESS", ".part.txt.crc", "other.json"]:
+        (tmp_path / name).write_text(name)
+    looked_up, plain = [], session._hadoop_path
+    monkeypatch.setattr(session, "_hadoop_path", lambda spark, path: looked_up.append(path) or plain(spark, path))
+    session.rename_files(spark, str(tmp_path), ".txt", ".csv")
+    assert {f.name for f in tmp_path.iterdir()} == {*[f"part-{i:05d}.csv" for i in range(300)], "_SUCCESS", ".part.txt.crc", "other.json"}
+    assert (tmp_path / "part-00007.csv").read_text() == "part-00007.txt" and len(looked_up) == 1
